@@ -20,8 +20,14 @@ from lathe.operators.lookup import join_small
 
 
 def exclusive_prefix(df: DataFrame, part: list[str], order: str, values: list[str],
-                     buckets: int = 64, suffix: str = "_before") -> DataFrame:
+                     buckets: int = 64, suffix: str = "_before", tiebreak: list[str] | None = None) -> DataFrame:
+    """Sum of ``values`` over rows of the same part that sort before each row.
+
+    Rows must be unique per ``(part, order, *tiebreak)``; equal ``order``
+    values always land in one bucket, and ``tiebreak`` orders them there.
+    """
     part = list(part)
+    tiebreak = list(tiebreak or [])
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.groupBy(*part).agg(F.percentile_approx(F.col(order).cast("double"), probs, 10_000).alias("__px_b"))
     # bounds: (#parts x buckets) numbers, size-checked before broadcast
@@ -32,7 +38,7 @@ def exclusive_prefix(df: DataFrame, part: list[str], order: str, values: list[st
     w_off = Window.partitionBy(*part).orderBy("__px_k").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*part, "__px_k", *[F.coalesce(F.sum(f"__px_t_{v}").over(w_off), F.lit(0)).alias(f"__px_o_{v}")
                                         for v in values])
-    w_in = Window.partitionBy(*part, "__px_k").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy(*part, "__px_k").orderBy(order, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
     inner = t.select("*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"__px_i_{v}") for v in values])
     res = join_small(inner, off, on=[*part, "__px_k"], how="left", max_rows=1_000_000)
     return (res.withColumns({f"{v}{suffix}": F.col(f"__px_i_{v}") + F.col(f"__px_o_{v}") for v in values})
