@@ -57,3 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory for round-trip outputs."""
+    import uuid
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/lathe-io/{name}-{uuid.uuid4().hex[:12]}"

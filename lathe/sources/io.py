@@ -58,11 +58,11 @@ def write_features(df: DataFrame, root: str, feature_set: str, kind: str) -> str
 
 def read_features(spark: SparkSession, root: str, feature_set: str, kind: str = "scaled",
                   columns: list[str] | None = None) -> DataFrame:
-    """A3: reload a feature table; partition pruning picks the one folder."""
-    df = (spark.read.option("basePath", root).parquet(root)
-          .where(f"feature_set = '{feature_set}' AND kind = '{kind}'")
-          .drop("feature_set", "kind"))
-    return df.select(*columns) if columns else df
+    """A3: reload one feature table. Raw and scaled tables differ in column types,
+    so the single partition folder is read directly (no schema merge across kinds);
+    ``columns`` prunes the Parquet scan to the selected columns."""
+    df = spark.read.parquet(f"{root.rstrip('/')}/feature_set={feature_set}/kind={kind}")
+    return df.select(*[f"`{x}`" for x in columns]) if columns else df
 
 
 def write_predictions(df: DataFrame, path: str, id_col: str = "PassengerId",
