@@ -64,9 +64,11 @@ def _group_size(df: DataFrame, b: Binding) -> DataFrame:
     return grp.group_size(df, b.group)
 
 
-def pipeline_fs001(df, b, impute_age=False, age_median=None):
+def pipeline_fs001(df, b, impute_age=False, age_median=None, group_aggs=None):
+    """fs_001 rows; ``group_aggs`` of later sets ride on the same TravelGroup aggregate as GroupSize."""
     df = _age_cat(_spending(_cabin_group(df, b), b))
-    return _group_size(_missing(df, b, impute_age, age_median), b)
+    rows = _missing(df, b, impute_age, age_median)
+    return grp.group_stats(rows, b.group, {"GroupSize": F.count(F.lit(1)), **(group_aggs or {})})
 
 
 def solo_interactions(df: DataFrame) -> DataFrame:
@@ -81,13 +83,16 @@ def pipeline_fs003(df, b, impute_age=False, age_median=None):
     return solo_interactions(pipeline_fs001(df, b, impute_age, age_median))
 
 
+def structural_aggs() -> dict:
+    """Group statistics of fs_005 (D4, D5, D6) on the TravelGroup aggregate."""
+    return {"__g_mean": F.avg("TotalSpending"), "__g_std": grp.std_or_zero(F.col("TotalSpending")),
+            "__g_cryo": F.avg(grp.cryo_int()), "GroupAgeDispersion": grp.std_or_zero(F.col("Age"))}
+
+
 def structural_context(df: DataFrame, b: Binding) -> DataFrame:
-    """B10, D5, D9, D10, D4, B11, D6 (one TravelGroup aggregate for D4, D5, D6)."""
-    df = df.withColumn("SpendingEntropy", col.spend_entropy(list(b.spend)))
-    df = grp.group_stats(df, b.group, {
-        "__g_mean": F.avg("TotalSpending"), "__g_std": grp.std_or_zero(F.col("TotalSpending")),
-        "__g_cryo": F.avg(grp.cryo_int()), "GroupAgeDispersion": grp.std_or_zero(F.col("Age"))})
+    """B10, D5, D4, B11 from the group statistics, then D9 and D10 (their own keys)."""
     df = df.withColumns({
+        "SpendingEntropy": col.spend_entropy(list(b.spend)),
         "GroupSpendingZScore": (F.col("TotalSpending") - F.col("__g_mean")) / (F.col("__g_std") + F.lit(1.0)),
         "GroupCryoAlignment": grp.group_alignment(F.col("__g_cryo")),
         "SpendingCategoryProfile": col.spend_profile(list(b.spend)),
@@ -97,59 +102,60 @@ def structural_context(df: DataFrame, b: Binding) -> DataFrame:
 
 
 def pipeline_fs005(df, b, impute_age=False, age_median=None):
-    return structural_context(pipeline_fs001(df, b, impute_age, age_median), b)
+    return structural_context(pipeline_fs001(df, b, impute_age, age_median, structural_aggs()), b)
+
+
+def cryo_spending_aggs() -> dict:
+    return {"GroupTransportedProxy": F.avg((F.coalesce(F.col("TotalSpending"), F.lit(0.0)) == 0).cast("int"))}
 
 
 def cryo_spending(df: DataFrame, b: Binding) -> DataFrame:
     df = df.withColumn("CryoSpendingAnomaly", grp.cryo_int() * F.coalesce(F.col("TotalSpending"), F.lit(0.0)))
-    df = grp.group_stats(df, b.group, {
-        "GroupTransportedProxy": F.avg((F.coalesce(F.col("TotalSpending"), F.lit(0.0)) == 0).cast("int"))})
     df = grp.side_spending_diff(df)
     return df.withColumn("CryoSleepBinary", col.tri_state("CryoSleep", -1))
 
 
 def pipeline_fs010(df, b, impute_age=False, age_median=None):
-    return cryo_spending(pipeline_fs001(df, b, impute_age, age_median), b)
+    return cryo_spending(pipeline_fs001(df, b, impute_age, age_median, cryo_spending_aggs()), b)
+
+
+def child_aggs() -> dict:
+    is_child = col.flag(F.col("Age") < 13)
+    return {"GroupHasChild": F.max(is_child).cast("int"), "GroupChildRate": F.avg(is_child)}
 
 
 def child_route(df: DataFrame, b: Binding, sep: str = "_") -> DataFrame:
-    df = df.withColumn("IsChild", col.flag(F.col("Age") < 13))
-    df = grp.group_stats(df, b.group, {"GroupHasChild": F.max("IsChild").cast("int"),
-                                       "GroupChildRate": F.avg("IsChild")})
-    return df.withColumn("Route", col.route(sep=sep))
+    return df.withColumns({"IsChild": col.flag(F.col("Age") < 13), "Route": col.route(sep=sep)})
 
 
 def pipeline_fs011(df, b, impute_age=False, age_median=None):
-    return child_route(pipeline_fs001(df, b, impute_age, age_median), b)
+    return child_route(pipeline_fs001(df, b, impute_age, age_median, child_aggs()), b)
 
 
-def group_context(df: DataFrame, b: Binding) -> DataFrame:
-    """D3 + D7: all/any cryo, spend share and others' spend, one TravelGroup aggregate."""
-    raw = col.total(list(b.spend))
-    df = df.withColumn("__raw", raw)
-    df = grp.group_stats(df, b.group, {"GroupAllCryo": F.min(grp.cryo_int()).cast("int"),
+def pipeline_fs013(df, b, impute_age=False, age_median=None):
+    """E3 and D3 + D7 share one aggregate over all rows; GroupSize is recounted after the drop."""
+    df = _spending(_cabin_group(df, b), b).withColumn("__raw", col.total(list(b.spend)))
+    df = grp.group_stats(df, b.group, {"__gmed": F.median("Age"),
+                                       "GroupAllCryo": F.min(grp.cryo_int()).cast("int"),
                                        "GroupAnyCryo": F.max(grp.cryo_int()).cast("int"),
                                        "__gsum": F.sum("__raw")})
-    return df.withColumns({
+    df = df.withColumn("Age", F.coalesce(F.col("Age"), F.col("__gmed")))
+    df = _age_cat(df).withColumns({
         "SpendShare": F.col("__raw") / (F.col("__gsum") + F.lit(1.0)),
         "GroupSpendOthers_Log": F.log1p(F.col("__gsum") - F.col("__raw")),
-    }).drop("__raw", "__gsum")
+    }).drop("__raw", "__gsum", "__gmed")
+    return _group_size(_missing(df, b, impute_age, age_median), b)
 
 
-def pipeline_fs013(df, b, impute_age=False, age_median=None):
-    df = _spending(_cabin_group(df, b), b)
-    df = imp.impute_group_median(df, "Age", b.group)
-    df = group_context(_age_cat(df), b)
-    return _group_size(_missing(df, b, impute_age, age_median), b)
+def group_spending_aggs() -> dict:
+    return {"GroupCryoSleepRate": F.avg(grp.cryo_int()), "GroupSpendingMean": F.avg("TotalSpending")}
 
 
 def group_spending(df: DataFrame, b: Binding) -> DataFrame:
-    """fs-002 extras: Route, cryo rate, violation, luxury ratio, deck position, group spend mean."""
-    df = df.withColumn("Route", col.route(sep="_to_"))
-    df = grp.group_stats(df, b.group, {"GroupCryoSleepRate": F.avg(grp.cryo_int()),
-                                       "GroupSpendingMean": F.avg("TotalSpending")})
+    """fs-002 extras: Route, violation, luxury ratio, deck position (group stats ride on GroupSize)."""
     lux = col.zero_if_null("Spa") + col.zero_if_null("VRDeck")
     df = df.withColumns({
+        "Route": col.route(sep="_to_"),
         "CryoSleepViolation": col.flag(col.is_true("CryoSleep") & (col.total(list(b.spend)) > 0)),
         "LuxurySpendingRatio": col.ratio_plus_one(lux, F.col("TotalSpending")),
     })
@@ -157,7 +163,7 @@ def group_spending(df: DataFrame, b: Binding) -> DataFrame:
 
 
 def pipeline_fs002(df, b, impute_age=False, age_median=None):
-    return group_spending(pipeline_fs001(df, b, impute_age, age_median), b)
+    return group_spending(pipeline_fs001(df, b, impute_age, age_median, group_spending_aggs()), b)
 
 
 def pipeline_fs006(df, b, impute_age=False, age_median=None):
