@@ -219,3 +219,16 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     targets = cols or [f.name for f in df.schema.fields
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return df.withColumns({x: F.nanvl(c(x), F.lit(None).cast("double")) for x in targets}) if targets else df
+
+
+def rnd(x: str | Column, d: int = 0) -> Column:
+    """Half-up rounding to ``d`` decimals on the binary value: ``round(x * 10^d) / 10^d``.
+
+    Rounding the scaled value puts a tie on the first fractional digit, where
+    it is exact in binary, so every engine (and NumPy-style scaling) agrees.
+    """
+    v = c(x) if isinstance(x, str) else x
+    if d == 0:
+        return F.round(v, 0)
+    scale = float(10 ** d)
+    return F.round(v * F.lit(scale), 0) / F.lit(scale)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathe.functions.columns import c
+from lathe.functions.columns import c, rnd
 from lathe.operators.ranks import exclusive_prefix, roc_auc
 
 
@@ -71,9 +71,9 @@ def classification_report(df: DataFrame, truth: str, score: str, threshold: floa
         f1 = 2 * prec * rec / (prec + rec) if prec + rec else 0.0
         rows.append((cls, prec, rec, f1, tp_c + fn_c))
     base = df.sparkSession.createDataFrame(rows, "class int, precision double, recall double, f1 double, support long")
-    return base.select("class", *[F.round(x, dp).alias(x) for x in ("precision", "recall", "f1")], "support",
-                       F.round(F.lit((tp + tn) / n if n else None).cast("double"), dp).alias("accuracy"),
-                       F.round(F.lit(auc).cast("double"), dp).alias("roc_auc"))
+    return base.select("class", *[rnd(x, dp).alias(x) for x in ("precision", "recall", "f1")], "support",
+                       rnd(F.lit((tp + tn) / n if n else None).cast("double"), dp).alias("accuracy"),
+                       rnd(F.lit(auc).cast("double"), dp).alias("roc_auc"))
 
 
 # ------------------------------------------------------------------ J8
@@ -118,7 +118,7 @@ def threshold_search(df: DataFrame, truth: str, score: str, start: float = 0.3,
                      ((F.col("all_pos") - F.col("cum_pos") + F.col("cum_neg")) / F.col("n")).alias("accuracy"))
              .withColumn("threshold", t(F.col("i"))))
     best = curve.orderBy(F.desc("accuracy"), F.asc("i")).limit(1)
-    return best.select(F.round("threshold", dp).alias("best_threshold"), F.round("accuracy", dp).alias("best_accuracy"))
+    return best.select(rnd("threshold", dp).alias("best_threshold"), rnd("accuracy", dp).alias("best_accuracy"))
 
 
 # ------------------------------------------------------------------ J9
@@ -129,7 +129,7 @@ def segment_errors(df: DataFrame, truth: str, pred: str, segments: dict[str, Col
     long = df.select(err.alias("__e"), F.inline(F.array(*items)))
     return (long.groupBy("segment_var", "segment")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("__e").cast("long").alias("errors"))
-            .withColumn("error_rate", F.round(F.col("errors") / F.col("n"), dp))
+            .withColumn("error_rate", rnd(F.col("errors") / F.col("n"), dp))
             .orderBy("segment_var", F.desc("error_rate")))
 
 
@@ -159,4 +159,4 @@ def prediction_distribution(df: DataFrame, pred: str, dp: int = 2) -> DataFrame:
     """Counts and % of each predicted class."""
     counts = df.groupBy(c(pred).alias(pred)).agg(F.count(F.lit(1)).alias("count"))
     n = df.count()
-    return counts.withColumn("pct", F.round(F.col("count") * 100.0 / F.lit(n), dp))
+    return counts.withColumn("pct", rnd(F.col("count") * 100.0 / F.lit(n), dp))

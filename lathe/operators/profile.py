@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lathe.functions.columns import c, is_true, row_all_zero, row_any_positive, total
+from lathe.functions.columns import c, is_true, row_all_zero, row_any_positive, total, rnd
 from lathe.functions.stats import bias_corrected_kurtosis, bias_corrected_skew
 from lathe.operators.lookup import bounded_table, join_small
 from lathe.operators.ranks import mann_whitney
@@ -42,7 +42,7 @@ def null_summary(df: DataFrame, cols: list[str] | None = None, dp: int = 2) -> D
     one = df.agg(F.count(F.lit(1)).alias("__n"),
                  *[F.count_if(c(x).isNull()).alias(f"__z{i}") for i, x in enumerate(cols)])
     structs = [F.struct(F.lit(x).alias("column"), F.col(f"__z{i}").alias("nulls"),
-                        F.round(F.col(f"__z{i}") * 100.0 / F.col("__n"), dp).alias("pct_nulls"))
+                        rnd(F.col(f"__z{i}") * 100.0 / F.col("__n"), dp).alias("pct_nulls"))
                for i, x in enumerate(cols)]
     return _long(one, structs).where(F.col("nulls") > 0)
 
@@ -63,12 +63,12 @@ def numeric_stats(df: DataFrame, cols: list[str], exact: bool = True) -> DataFra
         n = F.col(f"n{i}")
         structs.append(F.struct(
             F.lit(x).alias("column"), n.alias("count"),
-            F.round(F.col(f"m{i}"), 2).alias("mean"), F.round(F.col(f"s{i}"), 2).alias("std"),
-            F.round(F.col(f"lo{i}"), 2).alias("min"),
-            F.round(F.col(f"q{i}")[0], 2).alias("q25"), F.round(F.col(f"q{i}")[1], 2).alias("q50"),
-            F.round(F.col(f"q{i}")[2], 2).alias("q75"), F.round(F.col(f"hi{i}"), 2).alias("max"),
-            F.round(bias_corrected_skew(F.col(f"g1{i}"), n), 3).alias("skew"),
-            F.round(bias_corrected_kurtosis(F.col(f"g2{i}"), n), 3).alias("kurtosis")))
+            rnd(F.col(f"m{i}"), 2).alias("mean"), rnd(F.col(f"s{i}"), 2).alias("std"),
+            rnd(F.col(f"lo{i}"), 2).alias("min"),
+            rnd(F.col(f"q{i}")[0], 2).alias("q25"), rnd(F.col(f"q{i}")[1], 2).alias("q50"),
+            rnd(F.col(f"q{i}")[2], 2).alias("q75"), rnd(F.col(f"hi{i}"), 2).alias("max"),
+            rnd(bias_corrected_skew(F.col(f"g1{i}"), n), 3).alias("skew"),
+            rnd(bias_corrected_kurtosis(F.col(f"g2{i}"), n), 3).alias("kurtosis")))
     return _long(one, structs)
 
 
@@ -97,7 +97,7 @@ def value_share(df: DataFrame, col: str, dp: int = 2) -> DataFrame:
     """Value counts and % of the total (null counted as its own value)."""
     counts = df.groupBy(c(col).alias(col)).agg(F.count(F.lit(1)).alias("count"))
     n = row_count(df)
-    return counts.select(col, "count", F.round(F.col("count") * 100.0 / F.lit(n), dp).alias("pct"))
+    return counts.select(col, "count", rnd(F.col("count") * 100.0 / F.lit(n), dp).alias("pct"))
 
 
 def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -146,16 +146,16 @@ def chi2_test(df: DataFrame, cols: list[str], target: str, dp: int = 2) -> DataF
     stats = chi2_from_cells(cells)
     j = join_small(cells, stats, on="variable", how="inner")
     return j.select("variable", "category", F.col("n").alias("count"),
-                    F.round(F.col("n") * 100.0 / F.col("n_total"), 2).alias("pct"),
-                    F.round(F.col("n1") / F.col("n"), 4).alias("target_rate"),
-                    F.round("chi2", dp).alias("chi2"), F.col("dof").cast("int").alias("dof"))
+                    rnd(F.col("n") * 100.0 / F.col("n_total"), 2).alias("pct"),
+                    rnd(F.col("n1") / F.col("n"), 4).alias("target_rate"),
+                    rnd("chi2", dp).alias("chi2"), F.col("dof").cast("int").alias("dof"))
 
 
 def chi2_summary(df: DataFrame, cols: list[str], target: str) -> DataFrame:
     """One row per variable: chi2, dof and p-value."""
     from lathe.functions.stats import chi2_pvalue
     stats = chi2_from_cells(contingency(df, cols, target))
-    return stats.select("variable", F.round("chi2", 2).alias("chi2"), F.col("dof").cast("int").alias("dof"),
+    return stats.select("variable", rnd("chi2", 2).alias("chi2"), F.col("dof").cast("int").alias("dof"),
                         chi2_pvalue(F.col("chi2"), F.col("dof")).alias("p_value"))
 
 
@@ -163,16 +163,16 @@ def chi2_summary(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 def category_rate(df: DataFrame, col: str, target: str, dp: int = 4) -> DataFrame:
     """mean(target) and n per category (null categories dropped), sorted by rate."""
     return (df.where(c(col).isNotNull()).groupBy(c(col).alias(col))
-            .agg(F.round(F.avg(c(target).cast("int")), dp).alias("target_rate"), F.count(F.lit(1)).alias("n"))
+            .agg(rnd(F.avg(c(target).cast("int")), dp).alias("target_rate"), F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("target_rate")))
 
 
 def category_summary(df: DataFrame, col: str, target: str) -> DataFrame:
     """frequency (null kept) joined with target rate; one aggregate gives both."""
     counts = df.groupBy(c(col).alias(col)).agg(F.count(F.lit(1)).alias("count"),
-                                              F.round(F.avg(c(target).cast("int")), 4).alias("target_rate"))
+                                              rnd(F.avg(c(target).cast("int")), 4).alias("target_rate"))
     n = row_count(df)
-    return counts.select(col, "count", F.round(F.col("count") * 100.0 / F.lit(n), 2).alias("pct"), "target_rate")
+    return counts.select(col, "count", rnd(F.col("count") * 100.0 / F.lit(n), 2).alias("pct"), "target_rate")
 
 
 # ------------------------------------------------------------------ G9/G10/G11
@@ -181,11 +181,11 @@ def mann_whitney_table(df: DataFrame, cols: list[str], target: str, with_p: bool
     long = stack(df.withColumn("__y", c(target).cast("int")), cols, keep=["__y"], cast="double")
     mw = mann_whitney(long, "value", "__y", part=["variable"])
     means = long.where(F.col("value").isNotNull()).groupBy("variable").agg(
-        F.round(F.avg(F.when(F.col("__y") == 1, F.col("value"))), 3).alias("mean_true"),
-        F.round(F.avg(F.when(F.col("__y") == 0, F.col("value"))), 3).alias("mean_false"),
-        F.round(F.corr("value", F.col("__y").cast("double")), 4).alias("r_pearson"))
+        rnd(F.avg(F.when(F.col("__y") == 1, F.col("value"))), 3).alias("mean_true"),
+        rnd(F.avg(F.when(F.col("__y") == 0, F.col("value"))), 3).alias("mean_false"),
+        rnd(F.corr("value", F.col("__y").cast("double")), 4).alias("r_pearson"))
     out = mw.join(means, on="variable").select(
-        "variable", F.round("U", 0).alias("U"), F.round("z", 6).alias("z"), "mean_true", "mean_false", "r_pearson",
+        "variable", rnd("U", 0).alias("U"), rnd("z", 6).alias("z"), "mean_true", "mean_false", "r_pearson",
         F.col("n1").alias("n_true"), F.col("n0").alias("n_false"))
     if with_p:
         from lathe.functions.stats import normal_pvalue_two_sided
@@ -197,7 +197,7 @@ def pearson_target(df: DataFrame, features: dict[str, Column], target: str, dp:
     """Pearson r of several features with the target in one aggregate, ranked by |r|."""
     y = c(target).cast("double")
     one = df.agg(*[F.corr(e.cast("double"), y).alias(f"r{i}") for i, e in enumerate(features.values())])
-    structs = [F.struct(F.lit(name).alias("feature"), F.round(F.col(f"r{i}"), dp).alias("r_pearson"))
+    structs = [F.struct(F.lit(name).alias("feature"), rnd(F.col(f"r{i}"), dp).alias("r_pearson"))
                for i, name in enumerate(features)]
     return _long(one, structs).withColumn("abs_r", F.abs("r_pearson")).orderBy(F.desc("abs_r"))
 
@@ -214,7 +214,7 @@ def correlation_matrix(df: DataFrame, cols: list[str], dp: int = 6) -> DataFrame
             aggs.append(F.corr(c(key[0]).cast("double"), c(key[1]).cast("double")).alias(idx[key]))
     one = df.agg(*aggs)
     structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                        F.round(F.col(idx[tuple(sorted((a, b)))]), dp).alias("r")) for a, b in pairs]
+                        rnd(F.col(idx[tuple(sorted((a, b)))]), dp).alias("r")) for a, b in pairs]
     return _long(one, structs)
 
 
@@ -223,7 +223,7 @@ def pivot_rate(df: DataFrame, row: str, col: str, target: str, values: list, dp:
     """Row x col -> mean target; a missing cell stays null. Rows with a null key dropped."""
     d = df.where(c(row).isNotNull() & c(col).isNotNull())
     return (d.groupBy(c(row).alias(row)).pivot(col, values)
-            .agg(F.round(F.avg(c(target).cast("int")), dp)))
+            .agg(rnd(F.avg(c(target).cast("int")), dp)))
 
 
 def distinct_values(df: DataFrame, col: str, max_values: int = 1000) -> list:
@@ -247,7 +247,7 @@ def crosstab_pct(df: DataFrame, row: str, col: str, dp: int = 4) -> DataFrame:
     cells = d.groupBy(c(row).alias(row), c(col).alias(col)).agg(F.count(F.lit(1)).alias("n"))
     tot = cells.groupBy(row).agg(F.sum("n").alias("__t"))
     return (cells.join(tot, on=row)
-            .select(row, col, "n", F.round(F.col("n") * 100.0 / F.col("__t"), dp).alias("pct")))
+            .select(row, col, "n", rnd(F.col("n") * 100.0 / F.col("__t"), dp).alias("pct")))
 
 
 # ------------------------------------------------------------------ G16-G20
@@ -255,9 +255,9 @@ def segment_stats(df: DataFrame, segment: Column, age: str, spend_cols: list[str
                   dp: int = 3) -> DataFrame:
     """Per segment: mean age, mean total spend, target rate, n."""
     return (df.withColumn("__seg", segment).groupBy(F.col("__seg").alias("segment"))
-            .agg(F.round(F.avg(c(age)), dp).alias("mean_age"),
-                 F.round(F.avg(total(spend_cols)), dp).alias("mean_spending"),
-                 F.round(F.avg(c(target).cast("int")), dp).alias("transport_rate"),
+            .agg(rnd(F.avg(c(age)), dp).alias("mean_age"),
+                 rnd(F.avg(total(spend_cols)), dp).alias("mean_spending"),
+                 rnd(F.avg(c(target).cast("int")), dp).alias("transport_rate"),
                  F.count(c(target)).alias("n")))
 
 
@@ -267,15 +267,15 @@ def per_service_stats(df: DataFrame, spend_cols: list[str], target: str) -> Data
                  cast="double").withColumn("value", F.coalesce("value", F.lit(0.0)))
     spender = F.col("value") > 0
     agg = long.groupBy("service").agg(
-        F.round(F.avg((F.col("value") == 0).cast("int")) * 100, 2).alias("pct_zero"),
-        F.round(F.corr(F.log1p("value"), F.col("__y").cast("double")), 4).alias("r_pearson_log"),
+        rnd(F.avg((F.col("value") == 0).cast("int")) * 100, 2).alias("pct_zero"),
+        rnd(F.corr(F.log1p("value"), F.col("__y").cast("double")), 4).alias("r_pearson_log"),
         F.avg(F.when(spender, F.col("__y"))).alias("__rs"),
-        F.round(F.avg(F.when(~spender, F.col("__y"))), 4).alias("rate_non_spender"),
+        rnd(F.avg(F.when(~spender, F.col("__y"))), 4).alias("rate_non_spender"),
         F.median(F.when(spender, F.col("value"))).alias("__med"))
     # a rate of exactly 0 is reported as missing, as the reference does
     return agg.select("service", "pct_zero", "r_pearson_log",
-                      F.when(F.col("__rs") != 0, F.round("__rs", 4)).alias("rate_spender"),
-                      "rate_non_spender", F.round(F.coalesce("__med", F.lit(0.0)), 1).alias("median_spender"))
+                      F.when(F.col("__rs") != 0, rnd("__rs", 4)).alias("rate_spender"),
+                      "rate_non_spender", rnd(F.coalesce("__med", F.lit(0.0)), 1).alias("median_spender"))
 
 
 def zero_inflation(df: DataFrame, spend_cols: list[str], cryo: str) -> DataFrame:
@@ -288,15 +288,15 @@ def zero_inflation(df: DataFrame, spend_cols: list[str], cryo: str) -> DataFrame
                  *[F.avg((F.coalesce(c(x), F.lit(0.0)) == 0).cast("int")).alias(f"__z{i}")
                    for i, x in enumerate(spend_cols)])
     rows = [F.struct(F.lit(x).alias("segment"), F.lit("service").alias("kind"),
-                     F.round(F.col(f"__z{i}") * 100, 2).alias("pct_zero"), F.col("__n").alias("n"))
+                     rnd(F.col(f"__z{i}") * 100, 2).alias("pct_zero"), F.col("__n").alias("n"))
             for i, x in enumerate(spend_cols)]
     rows += [
         F.struct(F.lit("all").alias("segment"), F.lit("all_zero").alias("kind"),
-                 F.round(F.col("__all") * 100, 2).alias("pct_zero"), F.col("__n").alias("n")),
+                 rnd(F.col("__all") * 100, 2).alias("pct_zero"), F.col("__n").alias("n")),
         F.struct(F.lit("CryoSleep=True").alias("segment"), F.lit("all_zero").alias("kind"),
-                 F.round(F.col("__cz") * 100, 2).alias("pct_zero"), F.col("__cn").alias("n")),
+                 rnd(F.col("__cz") * 100, 2).alias("pct_zero"), F.col("__cn").alias("n")),
         F.struct(F.lit("CryoSleep=False/Unknown").alias("segment"), F.lit("all_zero").alias("kind"),
-                 F.round(F.col("__az") * 100, 2).alias("pct_zero"), F.col("__an").alias("n")),
+                 rnd(F.col("__az") * 100, 2).alias("pct_zero"), F.col("__an").alias("n")),
     ]
     return _long(one, rows)
 
@@ -319,7 +319,7 @@ def rule_violations(df: DataFrame, spend_cols: list[str], cryo: str = "CryoSleep
                       & is_true(c(planet) != p)))
     one = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(e).alias(f"__{k}") for k, e in conds])
     structs = [F.struct(F.lit(k).alias("rule"), F.col(f"__{k}").alias("violations"),
-                        F.round(F.col(f"__{k}") * 100.0 / F.col("__n"), dp).alias("pct")) for k, _ in conds]
+                        rnd(F.col(f"__{k}") * 100.0 / F.col("__n"), dp).alias("pct")) for k, _ in conds]
     return _long(one, structs)
 
 
@@ -344,7 +344,7 @@ def imputation_opportunities(df: DataFrame, spend_cols: list[str], key: str = "T
         F.count_if(c(cryo).isNull()).alias("cr_n"), F.count_if(c(cryo).isNull() & row_any_positive(spend_cols)).alias("cr_r"))
 
     def row(var, n, res, method):
-        pct = F.round(res * 100.0 / F.greatest(n, F.lit(1)), 1)
+        pct = rnd(res * 100.0 / F.greatest(n, F.lit(1)), 1)
         return F.struct(F.lit(var).alias("variable"), n.alias("nulls"), res.alias("resolvable"),
                         pct.alias("pct_resolvable"), F.lit(method).alias("method"))
     return _long(one, [
@@ -373,10 +373,10 @@ def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, exact: bool = T
                    for i, x in enumerate(cols)])
     structs = [F.struct(F.lit(x).alias("variable"), F.lit(bounds[x][0]).cast("double").alias("q1"),
                         F.lit(bounds[x][1]).cast("double").alias("q3"),
-                        F.round(F.lit(bounds[x][2]).cast("double"), 2).alias("lower_bound"),
-                        F.round(F.lit(bounds[x][3]).cast("double"), 2).alias("upper_bound"),
+                        rnd(F.lit(bounds[x][2]).cast("double"), 2).alias("lower_bound"),
+                        rnd(F.lit(bounds[x][3]).cast("double"), 2).alias("upper_bound"),
                         F.col(f"o{i}").alias("n_outliers"),
-                        F.round(F.col(f"o{i}") * 100.0 / F.col("__n"), 2).alias("pct_outliers"))
+                        rnd(F.col(f"o{i}") * 100.0 / F.col("__n"), 2).alias("pct_outliers"))
                for i, x in enumerate(cols)]
     return _long(one, structs)
 
@@ -393,8 +393,8 @@ def histogram(df: DataFrame, cols: list[str], target: str, bins: int = 20) -> Da
     return (j.withColumn("bin", b).groupBy("variable", "bin", "__lo", "__hi")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("__y").cast("long").alias("n_true"))
             .select("variable", "bin",
-                    F.round(F.col("__lo") + F.col("bin") * (F.col("__hi") - F.col("__lo")) / bins, 6).alias("bin_lo"),
-                    F.round(F.col("__lo") + (F.col("bin") + 1) * (F.col("__hi") - F.col("__lo")) / bins, 6).alias("bin_hi"),
+                    rnd(F.col("__lo") + F.col("bin") * (F.col("__hi") - F.col("__lo")) / bins, 6).alias("bin_lo"),
+                    rnd(F.col("__lo") + (F.col("bin") + 1) * (F.col("__hi") - F.col("__lo")) / bins, 6).alias("bin_hi"),
                     "n", "n_true", (F.col("n") - F.col("n_true")).alias("n_false")))
 
 
@@ -407,6 +407,6 @@ def box_summary(df: DataFrame, cols: list[str], by: str | None = None, exact: bo
     g = long.groupBy("variable", *([c(by).cast("string").alias("class")] if by else []))
     return g.agg(F.min("value").alias("min"), q.alias("__q"), F.max("value").alias("max"),
                  F.count(F.lit(1)).alias("n")) \
-        .select("variable", *(["class"] if by else []), "min", F.round(F.col("__q")[0], 6).alias("q1"),
-                F.round(F.col("__q")[1], 6).alias("median"), F.round(F.col("__q")[2], 6).alias("q3"), "max", "n")
+        .select("variable", *(["class"] if by else []), "min", rnd(F.col("__q")[0], 6).alias("q1"),
+                rnd(F.col("__q")[1], 6).alias("median"), rnd(F.col("__q")[2], 6).alias("q3"), "max", "n")
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import rnd
+
 from lathe.sources.fixtures import PASSENGERS_CTE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,4 +41,4 @@ def with_passengers(body: str, extra_ctes: str = "") -> str:
 
 def r(x: Column | str, dp: int = DP) -> Column:
     col = F.col(x) if isinstance(x, str) else x
-    return F.round(col, dp)
+    return rnd(col, dp)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import rnd
+
 from lathe.functions import columns as col
 from lathe.operators import evaluate as ev
 from lathe.operators import lookup as lk
@@ -186,7 +188,7 @@ def q_oof_join(spark, sf):
 def q_soft_vote(spark, sf):
     wide = lk.join_scores(score_tables(spark, sf), ID_COL, "score")
     proba, pred = ev.soft_vote(wide, ["m1", "m2", "m3"], [1.0, 2.0, 1.0])
-    return wide.select(ID_COL, F.round(proba, 6).alias("proba"), pred.alias(TARGET))
+    return wide.select(ID_COL, rnd(proba, 6).alias("proba"), pred.alias(TARGET))
 
 
 @register("champion_select", with_passengers(
@@ -201,7 +203,7 @@ def q_champion(spark, sf):
     sc = {"m1": with_score(val)["score"], "m2": ((order_no() * 104729) % 1000).cast("double") / 1000.0,
           "m3": ((order_no() * 7) % 1000).cast("double") / 1000.0}
     with_s = with_score(val).withColumns({k: v for k, v in sc.items() if k != "m1"})
-    accs = with_s.agg(*[F.round(F.avg(((F.col(k if k != "m1" else "score") >= 0.5).cast("int") == y).cast("int")), 4)
+    accs = with_s.agg(*[rnd(F.avg(((F.col(k if k != "m1" else "score") >= 0.5).cast("int") == y).cast("int")), 4)
                         .alias(k) for k in sc])
     cands = accs.select(F.inline(F.array(*[F.struct(F.lit(k).alias("model"), F.lit(i).alias("order"),
                                                      F.col(k).alias("val_accuracy")) for i, k in enumerate(sc)])))

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from lathe.functions.columns import rnd
 from pyspark.sql import types as T
 
 from lathe.operators import encode as enc
@@ -58,7 +60,7 @@ def fitted(spark, sf: str, name: str) -> FittedFeatureSet:
 
 def round_doubles(df: DataFrame, dp: int = 6) -> DataFrame:
     dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({x: F.round(F.col(f"`{x}`"), dp) for x in dbl}) if dbl else df
+    return df.withColumns({x: rnd(F.col(f"`{x}`"), dp) for x in dbl}) if dbl else df
 
 
 # ======================================================================= SQL: row pipelines (train mode)
@@ -255,7 +257,7 @@ _TE_SQL = base_cte() + ",\n" + "te AS (SELECT Deck AS value, avg(CAST(Transporte
 def q_te_fit(spark, sf):
     from lathe.plans.q_rows import base
     te = enc.target_encode_fit(base(spark, sf), "Deck", TARGET)
-    return te.table.select("value", F.round("mean", 6).alias("mean"))
+    return te.table.select("value", rnd("mean", 6).alias("mean"))
 
 
 @register("target_encode_apply", with_passengers(
@@ -268,7 +270,7 @@ def q_te_apply(spark, sf):
     from lathe.plans.q_rows import base
     df = base(spark, sf)
     te = enc.target_encode_fit(df.where(~F.col("Deck").isin("A", "T")), "Deck", TARGET)
-    return te.apply(df, "Deck_TE").select(ID_COL, F.round("Deck_TE", 6).alias("Deck_TE"))
+    return te.apply(df, "Deck_TE").select(ID_COL, rnd("Deck_TE", 6).alias("Deck_TE"))
 
 
 @register("one_hot", with_passengers(

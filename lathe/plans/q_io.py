@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import rnd
+
 from lathe.operators import encode as enc
 from lathe.plans.base import register, with_passengers
 from lathe.plans.featuresets import FEATURE_SETS
@@ -82,4 +84,4 @@ def q_fit_state_io(spark, sf):
     io.save_fit_state({"Deck": te.table}, {"column": "Deck", "default": te.default}, root)
     tables, meta = io.load_fit_state(spark, root, ["Deck"])
     loaded = enc.TargetEncoding(meta["column"], tables["Deck"], meta["default"])
-    return loaded.apply(df, "Deck_TE").select(ID_COL, F.round("Deck_TE", 6).alias("Deck_TE"))
+    return loaded.apply(df, "Deck_TE").select(ID_COL, rnd("Deck_TE", 6).alias("Deck_TE"))

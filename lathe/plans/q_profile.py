@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import rnd
+
 from lathe.functions import columns as col
 from lathe.operators import groups as grp
 from lathe.operators import impute as imp
@@ -345,7 +347,7 @@ def _iqr_sql() -> str:
 def q_iqr_outliers(spark, sf):
     df = passengers(spark, sf).withColumn("TotalSpending", col.total(SPEND_COLS))
     out = pf.iqr_outliers(df, _IQR_COLS)
-    return out.withColumns({"q1": F.round("q1", 6), "q3": F.round("q3", 6)})
+    return out.withColumns({"q1": rnd("q1", 6), "q3": rnd("q3", 6)})
 
 
 def _hist_sql(bins: int = 60) -> str:

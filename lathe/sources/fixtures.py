@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import rnd
+
 from lathe.sources.io import read_table
 
 # Fixed values of the fixture definition: part types that become the five
@@ -104,7 +106,7 @@ def derive_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_unless(k, "VIP", F.col("c_mktsegment") == "BUILDING").alias("VIP"),
     ]
     for i, name in enumerate(SPEND_COLS):
-        amount = F.when(finished, F.lit(0.0)).otherwise(F.round(F.coalesce(F.col(f"s{i + 1}"), F.lit(0.0)), 2))
+        amount = F.when(finished, F.lit(0.0)).otherwise(rnd(F.coalesce(F.col(f"s{i + 1}"), F.lit(0.0)), 2))
         cols.append(_null_unless(k, name, amount).alias(name))
     cols.append(_null_unless(k, "Name", F.col("nm")).alias("Name"))
     cols.append((finished != (k % 5 == 0)).alias(TARGET))
