@@ -12,16 +12,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathe.functions.columns import c, rnd
+from lathe.operators.lookup import join_small
 from lathe.operators.ranks import exclusive_prefix, roc_auc
 
 
 # ------------------------------------------------------------------ J1/J2
-def class_rank(df: DataFrame, label: str, order: Column, id_col: str, buckets: int = 64) -> DataFrame:
+def class_rank(df: DataFrame, label: str, order: Column, id_col: str, buckets: int | None = None) -> DataFrame:
     """0-based rank of each row inside its class by ``(order, id)``; adds ``__rank``, ``__n_class``."""
     t = df.withColumn("__ord", order.cast("double")).withColumn("__one", F.lit(1))
     ranked = exclusive_prefix(t, [label], "__ord", ["__one"], buckets, suffix="_rank", tiebreak=[id_col])
     sizes = t.groupBy(label).agg(F.count(F.lit(1)).alias("__n_class"))
-    out = ranked.join(F.broadcast(sizes), on=label, how="left")  # one row per class
+    out = join_small(ranked, sizes, on=label, how="left", max_rows=1_000)  # one row per class
     return out.withColumnRenamed("__one_rank", "__rank").drop("__one", "__ord")
 
 

@@ -5,8 +5,9 @@ distinct ``(part, order)`` value, the sum of ``values`` over all rows of the
 same part that sort before it. The order axis is cut into buckets at
 approximate quantiles of the data (a deterministic function of the values,
 not of the physical partitioning), bucket totals give the offsets, and a
-window runs only inside one ``(part, bucket)``. No task ever holds more than
-about ``1 / buckets`` of a part.
+window runs only inside one ``(part, bucket)``. The bucket count grows with the
+largest part (about two million rows per bucket), so no task holds more than
+a bounded slice of a part; a row finds its bucket by binary search.
 
 On top of it: Mann-Whitney U with tie correction (G9) and ROC-AUC (J6).
 """
@@ -19,28 +20,63 @@ from pyspark.sql import functions as F
 from lathe.operators.lookup import join_small
 
 
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 1 << 16
+
+
+def _pow2(n: int) -> int:
+    return 1 << max(0, (int(n) - 1).bit_length())
+
+
+def choose_buckets(df: DataFrame, part: list[str], minimum: int = 64,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Bucket count so that one bucket of the largest part holds about ``rows_per_bucket`` rows."""
+    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    biggest = int(sizes["m"] or 0) if sizes else 0
+    return min(MAX_BUCKETS, max(_pow2(minimum), _pow2(-(-biggest // rows_per_bucket))))
+
+
+def bucket_index(df: DataFrame, value: str, bounds: str, buckets: int, out: str) -> DataFrame:
+    """``out`` = number of ``bounds`` (sorted, length buckets - 1) that are <= ``value``.
+
+    Binary search in log2(buckets) projections; each step reads the previous
+    index once, so the plan stays linear in the number of steps.
+    """
+    x = F.col(value).cast("double")
+    df = df.withColumn(out, F.lit(0))
+    step = buckets // 2
+    while step >= 1:
+        cand = F.col(out) + F.lit(step)
+        df = df.withColumn(out, F.when(F.element_at(F.col(bounds), cand) <= x, cand).otherwise(F.col(out)))
+        step //= 2
+    return df
+
+
 def exclusive_prefix(df: DataFrame, part: list[str], order: str, values: list[str],
-                     buckets: int = 64, suffix: str = "_before", tiebreak: list[str] | None = None) -> DataFrame:
+                     buckets: int | None = None, suffix: str = "_before", tiebreak: list[str] | None = None) -> DataFrame:
     """Sum of ``values`` over rows of the same part that sort before each row.
 
     Rows must be unique per ``(part, order, *tiebreak)``; equal ``order``
     values always land in one bucket, and ``tiebreak`` orders them there.
+    ``buckets`` (rounded up to a power of two) defaults to a size-based choice.
     """
     part = list(part)
     tiebreak = list(tiebreak or [])
+    buckets = _pow2(buckets) if buckets else choose_buckets(df, part)
     probs = [i / buckets for i in range(1, buckets)]
-    qs = df.groupBy(*part).agg(F.percentile_approx(F.col(order).cast("double"), probs, 10_000).alias("__px_b"))
-    # bounds: (#parts x buckets) numbers, size-checked before broadcast
-    with_b = join_small(df, qs, on=part, how="left", max_rows=100_000) if part else _attach_global(df, qs)
-    bucket = F.size(F.filter(F.col("__px_b"), lambda b: b <= F.col(order).cast("double")))
-    t = with_b.withColumn("__px_k", bucket).drop("__px_b")
+    accuracy = max(10_000, 10 * buckets)
+    qs = df.groupBy(*part).agg(F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("__px_b"))
+    # bounds: one array of buckets - 1 doubles per part; broadcast only while <= ~10M numbers in total
+    with_b = (join_small(df, qs, on=part, how="left", max_rows=max(1, 10_000_000 // buckets)) if part
+              else _attach_global(df, qs))
+    t = bucket_index(with_b, order, "__px_b", buckets, "__px_k").drop("__px_b")
     tot = t.groupBy(*part, "__px_k").agg(*[F.sum(v).alias(f"__px_t_{v}") for v in values])
     w_off = Window.partitionBy(*part).orderBy("__px_k").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*part, "__px_k", *[F.coalesce(F.sum(f"__px_t_{v}").over(w_off), F.lit(0)).alias(f"__px_o_{v}")
                                         for v in values])
     w_in = Window.partitionBy(*part, "__px_k").orderBy(order, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
     inner = t.select("*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"__px_i_{v}") for v in values])
-    res = join_small(inner, off, on=[*part, "__px_k"], how="left", max_rows=1_000_000)
+    res = join_small(inner, off, on=[*part, "__px_k"], how="left", max_rows=200_000)
     return (res.withColumns({f"{v}{suffix}": F.col(f"__px_i_{v}") + F.col(f"__px_o_{v}") for v in values})
             .drop("__px_k", *[f"__px_i_{v}" for v in values], *[f"__px_o_{v}" for v in values]))
 
@@ -60,7 +96,7 @@ def class_cells(df: DataFrame, value: str, label: str, part: list[str] | None =
 
 
 def mann_whitney(df: DataFrame, value: str, label: str, part: list[str] | None = None,
-                 buckets: int = 64) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """U of the positive class vs the negative class, tie-corrected z with continuity 0.5.
 
     Returns one row per part: n1, n0, U (for the positive sample), z.
@@ -82,7 +118,8 @@ def mann_whitney(df: DataFrame, value: str, label: str, part: list[str] | None =
     return agg.withColumn("z", F.when(sigma > 0, z)).drop("__ties")
 
 
-def roc_auc(df: DataFrame, score: str, label: str, part: list[str] | None = None, buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, part: list[str] | None = None,
+            buckets: int | None = None) -> DataFrame:
     """Exact ROC-AUC (ties count one half) = U / (n1 * n0); one row per part."""
     mw = mann_whitney(df, score, label, part, buckets)
     return mw.select(*(part or []), (F.col("U") / (F.col("n1") * F.col("n0"))).alias("roc_auc"), "n1", "n0")

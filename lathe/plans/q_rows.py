@@ -10,6 +10,7 @@ from lathe.functions import columns as col
 from lathe.operators import groups as grp
 from lathe.operators import impute as imp
 from lathe.operators import lookup as lk
+from lathe.functions.columns import rnd
 from lathe.plans.base import r, register, with_passengers
 from lathe.plans.sqlfrag import (AGECAT, CABNUM, CABNUM_EDA, CRYO_ENC, CRYO_INT, DECK, FIXTURE_DECK_PLANET,
                                  GROUP, LAST, SIDE, SIDE_ENC, SPEND, any_pos_sql, base_cte, cats_sql,
@@ -32,14 +33,17 @@ def base(spark: SparkSession, sf: str) -> DataFrame:
 # ======================================================================= flagship
 @register("deck_groupsize_summary", with_passengers(
     f"SELECT Deck, GroupSize, round(avg(CAST(Transported AS INTEGER)),6) AS transport_rate, "
-    f"round(avg(TotalSpending),6) AS mean_spending, count(*) AS n FROM g GROUP BY Deck, GroupSize",
+    f"round(CAST(sum(CAST(round(TotalSpending * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100, 6) AS mean_spending, "
+    f"count(*) AS n FROM g GROUP BY Deck, GroupSize",
     base_cte() + ", g AS (SELECT *, count(*) OVER (PARTITION BY TravelGroup) AS GroupSize FROM b)"))
 def q_deck_groupsize(spark, sf):
     """Minimum slice: scan -> parse -> group context -> aggregate."""
     df = grp.group_size(base(spark, sf))
+    # money mean from exact integer cents: identical in every engine and partitioning
+    cents = F.sum(rnd(F.col("TotalSpending") * 100).cast("long"))
     return df.groupBy("Deck", "GroupSize").agg(
         r(F.avg(F.col(TARGET).cast("int"))).alias("transport_rate"),
-        r(F.avg("TotalSpending")).alias("mean_spending"),
+        r(cents / F.count(F.lit(1)) / 100.0).alias("mean_spending"),
         F.count(F.lit(1)).alias("n"))
 
 
