@@ -21,9 +21,18 @@ def median_expr(x: Column, exact: bool = True, accuracy: int = 10_000) -> Column
 
 
 def global_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str, float | None]:
-    """Fit step: one aggregate returning one median per column (a single small row)."""
-    row = df.agg(*[median_expr(c(x), exact).alias(x) for x in cols]).first()
-    return {x: (None if row[x] is None else float(row[x])) for x in cols}
+    """Fit step: one median per column (a few numbers reach the driver).
+
+    Exact medians use the distributed ``ranks.exact_quantiles`` (no task holds
+    all distinct values); ``exact=False`` uses one ``percentile_approx`` pass.
+    """
+    if not exact:
+        row = df.agg(*[median_expr(c(x), False).alias(x) for x in cols]).first()
+        return {x: (None if row[x] is None else float(row[x])) for x in cols}
+    from lathe.operators.profile import stack
+    from lathe.operators.ranks import quantile_values
+    got = quantile_values(stack(df, cols, cast="double"), ["variable"], "value", [0.5])
+    return {x: (got[(x,)][0] if (x,) in got else None) for x in cols}
 
 
 # ------------------------------------------------------------------ E1/E2

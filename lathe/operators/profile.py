@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lathe.functions.columns import c, is_true, row_all_zero, row_any_positive, total, rnd
 from lathe.functions.stats import bias_corrected_kurtosis, bias_corrected_skew
 from lathe.operators.lookup import bounded_table, join_small
-from lathe.operators.ranks import mann_whitney
+from lathe.operators.ranks import exact_quantiles, mann_whitney, quantile_values
 
 
 def _long(df: DataFrame, structs: list[Column]) -> DataFrame:
@@ -51,11 +51,16 @@ def null_summary(df: DataFrame, cols: list[str] | None = None, dp: int = 2) -> D
 def numeric_stats(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """describe() + bias-corrected skew and excess kurtosis, one aggregate pass."""
     aggs = []
+    quart = quantile_values(stack(df, cols, cast="double"), ["variable"], "value", [0.25, 0.5, 0.75]) if exact else {}
     for i, x in enumerate(cols):
         v = c(x)
-        q = F.percentile(v, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(v, [0.25, 0.5, 0.75], 10_000)
+        if exact:
+            qs = quart.get((x,), [None, None, None])
+            q = F.array(*[F.lit(a).cast("double") for a in qs])
+        else:
+            q = F.percentile_approx(v, [0.25, 0.5, 0.75], 10_000)
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(v).alias(f"hi{i}"),
+                 F.min(v).alias(f"lo{i}"), (F.first(q) if exact else q).alias(f"q{i}"), F.max(v).alias(f"hi{i}"),
                  F.skewness(v).alias(f"g1{i}"), F.kurtosis(v).alias(f"g2{i}")]
     one = df.agg(*aggs)
     structs = []
@@ -270,8 +275,10 @@ def per_service_stats(df: DataFrame, spend_cols: list[str], target: str) -> Data
         rnd(F.avg((F.col("value") == 0).cast("int")) * 100, 2).alias("pct_zero"),
         rnd(F.corr(F.log1p("value"), F.col("__y").cast("double")), 4).alias("r_pearson_log"),
         F.avg(F.when(spender, F.col("__y"))).alias("__rs"),
-        rnd(F.avg(F.when(~spender, F.col("__y"))), 4).alias("rate_non_spender"),
-        F.median(F.when(spender, F.col("value"))).alias("__med"))
+        rnd(F.avg(F.when(~spender, F.col("__y"))), 4).alias("rate_non_spender"))
+    med = (exact_quantiles(long.where(spender), ["service"], "value", [0.5])
+           .select("service", F.col("quantile").alias("__med")))
+    agg = agg.join(med, on="service", how="left")
     # a rate of exactly 0 is reported as missing, as the reference does
     return agg.select("service", "pct_zero", "r_pearson_log",
                       F.when(F.col("__rs") != 0, rnd("__rs", 4)).alias("rate_spender"),
@@ -358,11 +365,15 @@ def imputation_opportunities(df: DataFrame, spend_cols: list[str], key: str = "T
 # ------------------------------------------------------------------ G22-G24
 def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
     """Q1, Q3, k*IQR bounds, rows outside and % of all rows. Two passes (quantiles, then count)."""
-    q = df.agg(*[(F.percentile(c(x), [0.25, 0.75]) if exact else F.percentile_approx(c(x), [0.25, 0.75], 10_000))
-                 .alias(f"q{i}") for i, x in enumerate(cols)]).first()
+    if exact:
+        got = quantile_values(stack(df, cols, cast="double"), ["variable"], "value", [0.25, 0.75])
+        qv = {x: got.get((x,), [None, None]) for x in cols}
+    else:
+        row = df.agg(*[F.percentile_approx(c(x), [0.25, 0.75], 10_000).alias(f"q{i}") for i, x in enumerate(cols)]).first()
+        qv = {x: (row[f"q{i}"] or [None, None]) for i, x in enumerate(cols)}
     bounds = {}
     for i, x in enumerate(cols):
-        q1, q3 = (q[f"q{i}"] or [None, None])
+        q1, q3 = qv[x]
         if q1 is None:
             bounds[x] = (None, None, None, None)
             continue
@@ -400,13 +411,21 @@ def histogram(df: DataFrame, cols: list[str], target: str, bins: int = 20) -> Da
 
 def box_summary(df: DataFrame, cols: list[str], by: str | None = None, exact: bool = True) -> DataFrame:
     """Min, Q1, median, Q3, max per column (and per class when ``by`` is given)."""
-    keep = [by] if by else []
-    long = stack(df, cols, keep=keep, cast="double").where(F.col("value").isNotNull())
-    q = (F.percentile("value", [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000))
-    g = long.groupBy("variable", *([c(by).cast("string").alias("class")] if by else []))
-    return g.agg(F.min("value").alias("min"), q.alias("__q"), F.max("value").alias("max"),
-                 F.count(F.lit(1)).alias("n")) \
-        .select("variable", *(["class"] if by else []), "min", rnd(F.col("__q")[0], 6).alias("q1"),
-                rnd(F.col("__q")[1], 6).alias("median"), rnd(F.col("__q")[2], 6).alias("q3"), "max", "n")
+    long = stack(df, cols, keep=[by] if by else [], cast="double").where(F.col("value").isNotNull())
+    if by:
+        long = long.withColumn("class", c(by).cast("string")).drop(by)
+    part = ["variable"] + (["class"] if by else [])
+    stats = long.groupBy(*part).agg(F.min("value").alias("min"), F.max("value").alias("max"),
+                                    F.count(F.lit(1)).alias("n"))
+    if exact:
+        qs = (exact_quantiles(long, part, "value", [0.25, 0.5, 0.75])
+              .groupBy(*part).pivot("q_index", [0, 1, 2]).agg(F.first("quantile")))
+        stats = stats.join(qs, on=part, how="left")
+        q1, q2, q3 = F.col("0"), F.col("1"), F.col("2")
+    else:
+        stats = stats.join(long.groupBy(*part).agg(F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000)
+                                                   .alias("__q")), on=part, how="left")
+        q1, q2, q3 = F.col("__q")[0], F.col("__q")[1], F.col("__q")[2]
+    return stats.select(*part, "min", rnd(q1, 6).alias("q1"), rnd(q2, 6).alias("median"), rnd(q3, 6).alias("q3"),
+                        "max", "n")
 

@@ -123,3 +123,59 @@ def roc_auc(df: DataFrame, score: str, label: str, part: list[str] | None = None
     """Exact ROC-AUC (ties count one half) = U / (n1 * n0); one row per part."""
     mw = mann_whitney(df, score, label, part, buckets)
     return mw.select(*(part or []), (F.col("U") / (F.col("n1") * F.col("n0"))).alias("roc_auc"), "n1", "n0")
+
+
+def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[float]) -> DataFrame:
+    """Exact quantiles (linear interpolation between order statistics, as pandas / numpy).
+
+    ``long`` holds one observation per row. Distinct values are counted
+    (partial aggregation), ranked with ``exclusive_prefix``, and each needed
+    rank position (two per probability) is matched to the value whose count
+    range covers it through a broadcast of the few positions joined on the
+    part key. No task ever holds all distinct values of a part.
+    Returns ``(*part, q_index, quantile)``.
+    """
+    part = list(part)
+    key = part if part else ["__q_all"]
+    src = long if part else long.withColumn("__q_all", F.lit(0))
+    cells = (src.where(F.col(value).isNotNull()).groupBy(*key, F.col(value).cast("double").alias("__q_v"))
+             .agg(F.count(F.lit(1)).alias("__q_c")))
+    sizes = cells.groupBy(*key).agg(F.sum("__q_c").alias("__q_n"))
+    size_rows = sizes.limit(100_001).collect()
+    if len(size_rows) > 100_000:
+        raise ValueError("exact_quantiles: more than 100000 parts; use percentile_approx")
+    wanted = []
+    for r in size_rows:
+        n = int(r["__q_n"])
+        for qi, p in enumerate(probs):
+            pos = (n - 1) * p
+            lo = int(pos // 1)
+            hi = min(lo + 1, n - 1)
+            wanted.append((*[r[k] for k in key], qi, lo, hi, float(pos - lo)))
+    if not wanted:
+        return long.sparkSession.createDataFrame([], "q_index int, quantile double")
+    schema = sizes.select(*key).schema
+    from pyspark.sql import types as T
+    wschema = T.StructType([*schema.fields, T.StructField("q_index", T.IntegerType()),
+                            T.StructField("__q_lo", T.LongType()), T.StructField("__q_hi", T.LongType()),
+                            T.StructField("__q_f", T.DoubleType())])
+    need = long.sparkSession.createDataFrame(wanted, wschema)    # #parts x #probs rows, bounded above
+    pref = exclusive_prefix(cells, key, "__q_v", ["__q_c"], suffix="_before")
+    covers = lambda k: (F.col("__q_c_before") <= F.col(k)) & (F.col(k) < F.col("__q_c_before") + F.col("__q_c"))
+    hits = pref.join(F.broadcast(need), on=key).where(covers("__q_lo") | covers("__q_hi"))
+    out = hits.groupBy(*key, "q_index").agg(
+        F.max(F.when(covers("__q_lo"), F.col("__q_v"))).alias("__q_a"),
+        F.max(F.when(covers("__q_hi"), F.col("__q_v"))).alias("__q_b"),
+        F.first("__q_f").alias("__q_f"))
+    res = out.select(*key, "q_index",
+                     (F.col("__q_a") + (F.col("__q_b") - F.col("__q_a")) * F.col("__q_f")).alias("quantile"))
+    return res.drop("__q_all") if not part else res
+
+
+def quantile_values(long: DataFrame, part: list[str], value: str, probs: list[float]) -> dict:
+    """Collect ``exact_quantiles`` (a few numbers per part) as ``{part_tuple: [q0, q1, ...]}``."""
+    out: dict = {}
+    for r in exact_quantiles(long, part, value, probs).collect():
+        k = tuple(r[p] for p in part)
+        out.setdefault(k, [None] * len(probs))[r["q_index"]] = r["quantile"]
+    return out

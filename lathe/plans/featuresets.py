@@ -215,9 +215,8 @@ class FeatureSet:
             stats = cut_lineage(stats)
         tes = {x: enc.fit_target_encoding(stats, x) for x in self.target_encode}
         ohe = enc.one_hot_fit(stats, list(self.categorical)) if self.categorical else {}
-        age_row = rows.agg(F.median("Age").alias("m")).first() if "Age" in rows.columns else None
-        fitted = FittedFeatureSet(self, b, tes, ohe, enc.Scaler({}), [],
-                                  None if age_row is None or age_row["m"] is None else float(age_row["m"]))
+        age_median = imp.global_medians(rows, ["Age"])["Age"] if "Age" in rows.columns else None
+        fitted = FittedFeatureSet(self, b, tes, ohe, enc.Scaler({}), [], age_median)
         matrix = fitted._encode(rows, train=True)
         feature_cols = [x for x in matrix.columns if x not in (b.id_col, b.target)]
         scaler = enc.standard_scale_fit(matrix, [x for x in self.numeric if x in matrix.columns])
