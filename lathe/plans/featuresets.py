@@ -22,7 +22,7 @@ from lathe.functions import columns as col
 from lathe.operators import encode as enc
 from lathe.operators import groups as grp
 from lathe.operators import impute as imp
-from lathe.session import cut_lineage
+from lathe.session import cut_lineage, materialize_if_large
 
 
 @dataclass(frozen=True)
@@ -205,9 +205,17 @@ class FeatureSet:
     def rows(self, df: DataFrame, b: Binding, train: bool = True, age_median: float | None = None) -> DataFrame:
         return self.pipeline(df, b, not train, age_median)
 
-    def fit(self, df: DataFrame, b: Binding = Binding(), checkpoint: bool = False) -> "FittedFeatureSet":
+    def fit(self, df: DataFrame, b: Binding = Binding(), checkpoint: bool | None = None) -> "FittedFeatureSet":
+        """Fit encoders and scaler on the train-mode rows.
+
+        The rows feed several passes (category statistics, age median, scaler);
+        ``checkpoint=None`` materialises them into ``spark.checkpoint.dir`` when
+        Catalyst estimates them above 1 GiB, ``True``/``False`` force the choice.
+        """
         rows = _label_encode(self.rows(df, b, train=True))
-        if checkpoint:
+        if checkpoint is None:
+            rows = materialize_if_large(rows)
+        elif checkpoint:
             rows = cut_lineage(rows)
         stat_cols = list(dict.fromkeys([*self.target_encode, *self.categorical]))
         stats = enc.category_stats(rows, stat_cols, b.target) if stat_cols else None

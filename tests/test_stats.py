@@ -84,3 +84,27 @@ def test_mann_whitney_and_auc_with_ties(spark):
     assert abs(got.z - z) < 1e-9
     auc = roc_auc(df, "v", "y", buckets=5).first().roc_auc
     assert abs(auc - u / (n1 * n0)) < 1e-12
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from lathe.operators.ranks import quantile_values
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), float(rnd.randint(0, 40)) if rnd.random() > 0.1 else None) for _ in range(999)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = quantile_values(df, ["g"], "v", probs)
+    for g in "ab":
+        xs = [v for gg, v in rows if gg == g and v is not None]
+        assert np.allclose(got[(g,)], np.quantile(xs, probs))
+    allv = [v for _, v in rows if v is not None]
+    assert np.allclose(quantile_values(df, [], "v", [0.5])[()], [np.median(allv)])
+
+
+def test_bucket_index_binary_search(spark):
+    from lathe.operators.ranks import bucket_index
+    bounds = [1.0, 2.0, 2.0, 5.0, 8.0, 9.0, 9.5]          # 8 buckets -> 7 sorted bounds
+    vals = [0.5, 1.0, 1.5, 2.0, 4.0, 5.0, 8.9, 9.2, 9.5, 100.0]
+    df = spark.createDataFrame([(v, bounds) for v in vals], "x double, b array<double>")
+    got = [r.k for r in bucket_index(df, "x", "b", 8, "k").orderBy("x").collect()]
+    assert got == [sum(1 for b in bounds if b <= v) for v in vals]
