@@ -210,11 +210,11 @@ class FeatureSet:
 
         The rows feed several passes (category statistics, age median, scaler);
         ``checkpoint=None`` materialises them into ``spark.checkpoint.dir`` when
-        Catalyst estimates them above 1 GiB, ``True``/``False`` force the choice.
+        the scanned input is estimated above 1 GiB, ``True``/``False`` force the choice.
         """
         rows = _label_encode(self.rows(df, b, train=True))
         if checkpoint is None:
-            rows = materialize_if_large(rows)
+            rows = materialize_if_large(rows, size_of=df)
         elif checkpoint:
             rows = cut_lineage(rows)
         stat_cols = list(dict.fromkeys([*self.target_encode, *self.categorical]))
