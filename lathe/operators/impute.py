@@ -35,6 +35,38 @@ def global_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[s
     return {x: (got[(x,)][0] if (x,) in got else None) for x in cols}
 
 
+HOT_GROUP_ROWS = 1_000_000
+
+
+def group_medians(df: DataFrame, key: str, cols: list[str], exact: bool = True,
+                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Per-group medians ``(key, __gm_<col>...)`` that stay bounded for hot groups.
+
+    Groups with at most ``hot_rows`` rows use ``median`` (its buffer holds the
+    distinct values of one group). Larger groups - at most rows / hot_rows of
+    them, size-checked - use the distributed ``ranks.exact_quantiles``, so no
+    task merges all distinct values of a hot group.
+    """
+    names = {x: f"__gm_{x}" for x in cols}
+    if not exact:
+        return df.groupBy(key).agg(*[median_expr(c(x), False).alias(n) for x, n in names.items()])
+    from lathe.operators.lookup import bounded_table
+    from lathe.operators.profile import stack
+    from lathe.operators.ranks import exact_quantiles
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__gm_n"))
+    hot = bounded_table(sizes.where(F.col("__gm_n") > hot_rows).select(key), 100_000)
+    if hot is None:
+        raise ValueError("group_medians: too many hot groups; use exact=False")
+    small = df if hot.isEmpty() else df.join(F.broadcast(hot), on=key, how="left_anti")
+    out = small.groupBy(key).agg(*[F.median(c(x)).alias(n) for x, n in names.items()])
+    if hot.isEmpty():
+        return out
+    big = stack(df.join(F.broadcast(hot), on=key, how="left_semi"), cols, keep=[key], cast="double")
+    q = (exact_quantiles(big, [key, "variable"], "value", [0.5])
+         .groupBy(key).pivot("variable", cols).agg(F.first("quantile")))
+    return out.unionByName(q.select(key, *[F.col(x).alias(n) for x, n in names.items()]))
+
+
 # ------------------------------------------------------------------ E1/E2
 def impute_constant(df: DataFrame, categorical: list[str], numeric: list[str],
                     unknown: str = UNKNOWN, zero: float = 0.0) -> DataFrame:
@@ -77,8 +109,9 @@ def drop_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def impute_group_median(df: DataFrame, col: str = "Age", key: str = "TravelGroup",
                         exact: bool = True) -> DataFrame:
     """Null -> median of the group (stays null if the group has none)."""
-    tmp = group_stats(df, key, {"__gm": median_expr(c(col), exact)})
-    return tmp.withColumn(col, F.coalesce(c(col), F.col("__gm"))).drop("__gm")
+    med = group_medians(df, key, [col], exact)
+    tmp = df.join(med, on=key, how="left")
+    return tmp.withColumn(col, F.coalesce(c(col), F.col(f"__gm_{col}"))).drop(f"__gm_{col}")
 
 
 # ------------------------------------------------------------------ E4
@@ -86,14 +119,14 @@ def impute_spend_group_aware(df: DataFrame, cols: list[str], key: str = "TravelG
                              cryo: str = "CryoSleep", exact: bool = True) -> DataFrame:
     """Null & cryo -> 0; null & not cryo -> group median -> global median -> 0."""
     gmed = global_medians(df, cols, exact)
-    tmp = group_stats(df, key, {f"__gsm_{x}": median_expr(c(x), exact) for x in cols})
+    tmp = df.join(group_medians(df, key, cols, exact), on=key, how="left")
     cryo_true = is_true(cryo)
     upd = {}
     for x in cols:
-        g = F.col(f"__gsm_{x}")
+        g = F.col(f"__gm_{x}")
         fallback = F.coalesce(g, F.lit(gmed[x]), F.lit(0.0)) if gmed[x] is not None else F.coalesce(g, F.lit(0.0))
         upd[x] = F.when(c(x).isNotNull(), c(x)).when(cryo_true, F.lit(0.0)).otherwise(fallback)
-    return tmp.withColumns(upd).drop(*[f"__gsm_{x}" for x in cols])
+    return tmp.withColumns(upd).drop(*[f"__gm_{x}" for x in cols])
 
 
 # ------------------------------------------------------------------ E5/E6
