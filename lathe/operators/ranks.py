@@ -125,6 +125,10 @@ def roc_auc(df: DataFrame, score: str, label: str, part: list[str] | None = None
     return mw.select(*(part or []), (F.col("U") / (F.col("n1") * F.col("n0"))).alias("roc_auc"), "n1", "n0")
 
 
+# Largest number of distinct values per part merged in one task by Spark's exact percentile.
+MERGE_DISTINCT_LIMIT = 200_000
+
+
 def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[float]) -> DataFrame:
     """Exact quantiles (linear interpolation between order statistics, as pandas / numpy).
 
@@ -140,10 +144,18 @@ def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[fl
     src = long if part else long.withColumn("__q_all", F.lit(0))
     cells = (src.where(F.col(value).isNotNull()).groupBy(*key, F.col(value).cast("double").alias("__q_v"))
              .agg(F.count(F.lit(1)).alias("__q_c")))
-    sizes = cells.groupBy(*key).agg(F.sum("__q_c").alias("__q_n"))
+    sizes = cells.groupBy(*key).agg(F.sum("__q_c").alias("__q_n"), F.count(F.lit(1)).alias("__q_d"))
     size_rows = sizes.limit(100_001).collect()
     if len(size_rows) > 100_000:
         raise ValueError("exact_quantiles: more than 100000 parts; use percentile_approx")
+    if size_rows and max(int(r["__q_d"]) for r in size_rows) <= MERGE_DISTINCT_LIMIT:
+        # every part has a bounded number of distinct values: Spark's exact percentile merges at most
+        # that many (value, count) entries in one task, so one more pass finishes the job
+        agg = src.where(F.col(value).isNotNull()).groupBy(*key).agg(
+            F.percentile(F.col(value).cast("double"), list(probs)).alias("__q_arr"))
+        res = agg.select(*key, F.posexplode("__q_arr").alias("q_index", "quantile")) \
+            .withColumn("q_index", F.col("q_index").cast("int"))
+        return res.drop("__q_all") if not part else res
     wanted = []
     for r in size_rows:
         n = int(r["__q_n"])

@@ -108,3 +108,16 @@ def test_bucket_index_binary_search(spark):
     df = spark.createDataFrame([(v, bounds) for v in vals], "x double, b array<double>")
     got = [r.k for r in bucket_index(df, "x", "b", 8, "k").orderBy("x").collect()]
     assert got == [sum(1 for b in bounds if b <= v) for v in vals]
+
+
+def test_exact_quantiles_distributed_path(spark, monkeypatch):
+    import numpy as np
+    from lathe.operators import ranks
+    monkeypatch.setattr(ranks, "MERGE_DISTINCT_LIMIT", 3)
+    rnd = random.Random(21)
+    rows = [(rnd.choice("ab"), float(rnd.randint(0, 30))) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = ranks.quantile_values(df, ["g"], "v", [0.25, 0.5, 0.9])
+    for g in "ab":
+        xs = [v for gg, v in rows if gg == g]
+        assert np.allclose(got[(g,)], np.quantile(xs, [0.25, 0.5, 0.9]))
