@@ -142,20 +142,24 @@ def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[fl
     part = list(part)
     key = part if part else ["__q_all"]
     src = long if part else long.withColumn("__q_all", F.lit(0))
-    cells = (src.where(F.col(value).isNotNull()).groupBy(*key, F.col(value).cast("double").alias("__q_v"))
-             .agg(F.count(F.lit(1)).alias("__q_c")))
-    sizes = cells.groupBy(*key).agg(F.sum("__q_c").alias("__q_n"), F.count(F.lit(1)).alias("__q_d"))
-    size_rows = sizes.limit(100_001).collect()
-    if len(size_rows) > 100_000:
+    present = src.where(F.col(value).isNotNull())
+    # cheap bound check (HyperLogLog partial aggregates, no shuffle of values)
+    est = present.groupBy(*key).agg(F.approx_count_distinct(value, 0.05).alias("__q_d")).limit(100_001).collect()
+    if len(est) > 100_000:
         raise ValueError("exact_quantiles: more than 100000 parts; use percentile_approx")
-    if size_rows and max(int(r["__q_d"]) for r in size_rows) <= MERGE_DISTINCT_LIMIT:
+    if not est:
+        return long.sparkSession.createDataFrame([], "q_index int, quantile double")
+    if max(int(r["__q_d"]) for r in est) * 1.25 <= MERGE_DISTINCT_LIMIT:
         # every part has a bounded number of distinct values: Spark's exact percentile merges at most
         # that many (value, count) entries in one task, so one more pass finishes the job
-        agg = src.where(F.col(value).isNotNull()).groupBy(*key).agg(
-            F.percentile(F.col(value).cast("double"), list(probs)).alias("__q_arr"))
+        agg = present.groupBy(*key).agg(F.percentile(F.col(value).cast("double"), list(probs)).alias("__q_arr"))
         res = agg.select(*key, F.posexplode("__q_arr").alias("q_index", "quantile")) \
             .withColumn("q_index", F.col("q_index").cast("int"))
         return res.drop("__q_all") if not part else res
+    cells = (present.groupBy(*key, F.col(value).cast("double").alias("__q_v"))
+             .agg(F.count(F.lit(1)).alias("__q_c")))
+    sizes = cells.groupBy(*key).agg(F.sum("__q_c").alias("__q_n"))
+    size_rows = sizes.collect()            # one row per part, bounded above
     wanted = []
     for r in size_rows:
         n = int(r["__q_n"])
