@@ -95,7 +95,7 @@ def _batch(rows: list) -> pa.RecordBatch:
 def _bitmap(dropped: pd.Series) -> pd.Series:
     """Compressed keep bitmap from dropped positions: bit i is line i; lines past its end stay."""
     def one(places):
-        keep = np.ones(int(max(places)) + 1, bool)
+        keep = np.ones(int(max(places)) // 8 * 8 + 8, bool)
         keep[np.asarray(places)] = False
         return zlib.compress(np.packbits(keep).tobytes())
     return dropped.map(one)
