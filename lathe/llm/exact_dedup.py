@@ -41,7 +41,7 @@ def frequent(rows: DataFrame, heavy: int = HEAVY) -> DataFrame:
     part = rows.select("text_sha256", (F.spark_partition_id() % MERGE).alias("g"))
     level1 = part.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(text_sha256, {heavy * 4})").alias("s"))
     # grouped by a constant: a global aggregate would also make summaries of empty partitions, which can't be merged
-    top = level1.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {heavy * 4}), {heavy * 2})").alias("top"))
+    top = level1.groupBy(F.col("g") * 0).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {heavy * 4}), {heavy * 2})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("text_sha256"))
 
 

@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lathe.llm import exact_dedup, line_dedup, quality
+from lathe.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash
 from lathe.llm.common import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), path), path)
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id", "class_id")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "documents")))
 
@@ -20,7 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_line_dedup, op9_quality_rules, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op5_line_dedup, op9_quality_rules, op10_exact_dedup)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
