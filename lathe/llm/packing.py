@@ -17,8 +17,10 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import deque
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -35,22 +37,22 @@ LANE = 4 << 20
 END = 1
 BLOCK = 1024
 #: Words whose ids a worker remembers.
-REMEMBER = 600_000
+REMEMBER = 800_000
 
 _WORKER: dict = {}
 
 
 class Ids:
     """Token ids of texts, by white-space separated word: the pre-tokenizer never
-    joins across white space, so a word has the same ids in every text."""
+    joins across white space, so a word has the same ids in every text. Words of
+    plain Latin letters with closing marks, nearly all, go to the BPE model many at
+    a time as letter run and marks; any other word goes through the whole tokenizer."""
 
-    #: Characters for which a lower-case letter run is one pre-token in any version of Unicode.
-    LETTERS = frozenset(chr(i) for i in range(0x180) if chr(i).isalpha() and i != 0x130 and chr(i).lower() == chr(i))
-    MARKS = frozenset(".,;:!?")
+    PLAIN = re.compile(r"^(?:([a-z\xdf-\xf6\xf8-\xff]+)([.,;:!?]*)|.*)$", re.M)
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         n = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
@@ -58,6 +60,14 @@ class Ids:
         for t, i in self.tok.get_vocab().items():
             self.ends[i] = t.endswith("</w>")
         self.memory: dict[bytes, bytes] = {}
+        self.runs = Tokenizer(self.tok.model)                    # takes runs as the pre-tokenizer would hand them over
+        self.runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.table = {c: byte.pre_tokenize_str(chr(c))[0][0] for c in range(0xdf, 0x100)}
+        probe = "na\xefve the o\xf9r caf\xe9."                  # does this tokenizer work that way at all?
+        words = probe.encode().split()
+        self.plain = True
+        self.plain = b"".join(self.learn(set(words))[w] for w in words) == self._encode([probe])[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -65,47 +75,42 @@ class Ids:
     def _runs(self, runs: list[str]) -> dict[str, bytes]:
         """Ids of letter runs: many at once, cut after each end-of-word id."""
         out = {}
-        for at in range(0, len(runs), 512):
-            part = runs[at:at + 512]
-            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part) and cuts[-1] == len(ids):
-                edges = [0, *cuts.tolist()]
-                out.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, edges, edges[1:]))
-            else:
+        parts = [some[at:at + 256] for some in ([w for w in runs if w.isascii()], [w for w in runs if not w.isascii()])
+                 for at in range(0, len(some), 256)]
+        joined = [" ".join(p) if p[0].isascii() else " ".join(p).translate(self.table) for p in parts]
+        for part, e in zip(parts, self.runs.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            data, size = ids.tobytes(), self.dtype.itemsize
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()
+            if len(cuts) != len(part):
                 out.update(zip(part, self._encode(part)))
+                continue
+            out.update(zip(part, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
         return out
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        split, odd = {}, []
-        for w in words:
-            s = w.decode()
-            core = s.lower()
-            end = len(core)
-            while end and core[end - 1] in self.MARKS:
-                end -= 1
-            if len(core) == len(s) and end and self.LETTERS.issuperset(core[:end]):
-                split[w] = (core[:end], core[end:])
-            else:
-                odd.append(w)
-        runs = self._runs(list({c for c, _ in split.values()}))
-        marks = list({m for _, m in split.values()})
-        tails = dict(zip(marks, self._encode(marks)))
-        new = {w: runs[c] + tails[m] for w, (c, m) in split.items()}
+        words = list(words)
+        if not self.plain:
+            return dict(zip(words, self._encode([w.decode() for w in words])))
+        found = self.PLAIN.findall(b"\n".join(words).decode().lower()) if words else []
+        runs = self._runs(list({c for c, _ in found if c}))
+        marks = list({m for _, m in found if m})
+        tails = {"": b"", **dict(zip(marks, self._encode(marks)))}
+        new = {w: runs[c] + tails[m] for w, (c, m) in zip(words, found) if c}
+        odd = [w for w, (c, _) in zip(words, found) if not c]
         new.update(zip(odd, self._encode([w.decode() for w in odd])))
         return new
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``dtype``."""
         words = [t.encode().split() for t in texts]
-        need = set().union(*words)
-        missing = need.difference(self.memory)
+        missing = set(filterfalse(self.memory.__contains__, chain.from_iterable(words)))
         if missing:
             if len(self.memory) + len(missing) > REMEMBER:
-                self.memory = {w: self.memory[w] for w in need - missing}
+                self.memory = {w: self.memory[w] for w in set(chain.from_iterable(words)) - missing}
             self.memory.update(self.learn(missing))
-        memory = self.memory
-        return [b"".join([memory[w] for w in ws]) for ws in words]
+        known = self.memory.__getitem__
+        return [b"".join(map(known, ws)) for ws in words]
 
 
 def tokenize(docs: DataFrame, path: str, end: int = END) -> DataFrame:
