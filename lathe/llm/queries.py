@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lathe.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, url_filter
+from lathe.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, toxicity, url_filter
 from lathe.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "documents")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -47,7 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op5_line_dedup, op7_url_filter, op8_language, op9_quality_rules, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op5_line_dedup, op6_toxicity, op7_url_filter, op8_language, op9_quality_rules, op10_exact_dedup)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
