@@ -218,8 +218,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, at: float = 0.7, train: int = T
     chance = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) / 1e6
     chosen = known.where(chance < F.when(F.col("toxic") == 1, min(1.0, train / max(1, sizes.get(1, 0)))).otherwise(
         min(1.0, train / max(1, sizes.get(0, 0)))))
+    chosen = stored(chosen, "toxic-sample")     # about 2 * train ids at most: that bound lets it be broadcast
     cost = learn_letters(docs)
-    taught = rows.join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "toxic", "text")
+    taught = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "toxic", "text")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(4))
     odds = learn_grams(taught.where(fold != 0), cost)
     shift, slope = calibrate(evidence(taught.where(fold == 0).select("toxic", "text"), cost, odds))
