@@ -37,7 +37,7 @@ LANE = 4 << 20
 END = 1
 BLOCK = 1024
 #: Words whose ids a worker remembers.
-REMEMBER = 800_000
+REMEMBER = 1_000_000
 
 _WORKER: dict = {}
 
@@ -113,10 +113,15 @@ class Ids:
         return [b"".join(map(known, ws)) for ws in words]
 
 
+def worker_ids(path: str) -> Ids:
+    """This worker process's Ids, kept from task to task."""
+    return _WORKER.get(path) or _WORKER.setdefault(path, Ids(path))
+
+
 def tokenize(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     """(doc_id, source, n, ids) per row; ids: little-endian, 2 bytes each (4 for a vocabulary above 65,536)."""
     def run(batches):
-        ids = _WORKER.get(path) or _WORKER.setdefault(path, Ids(path))
+        ids = worker_ids(path)
         tail = np.array([end], ids.dtype).tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 256):
