@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lathe.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, toxicity, url_filter
+from lathe.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, substring_dedup, toxicity, url_filter
 from lathe.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id", "class_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "documents")))
 
@@ -51,7 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op5_line_dedup, op6_toxicity, op7_url_filter, op8_language, op9_quality_rules, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op4_substring_dedup, op5_line_dedup, op6_toxicity, op7_url_filter, op8_language, op9_quality_rules, op10_exact_dedup)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
