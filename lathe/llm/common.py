@@ -31,20 +31,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _SCRATCH.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing will read again."""
+    for df in tables:
+        _delete(df.sparkSession, df.scratch)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _clean() -> None:
     """Delete this process's scratch tables when it ends with its session still open."""
     for spark, path in _SCRATCH:
-        if spark.sparkContext._jsc is None:
-            continue
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)
+
+
+def pieces(batches, rows: int = 256):
+    """Arrow batches in slices, so Python never holds a whole batch's texts as objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lathe.llm.common import stored
+from lathe.llm.common import discard, pieces, stored
 from lathe.llm.language import MIX
 from lathe.llm.line_dedup import NO_ID
 
@@ -95,7 +95,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def shared_minimizers(rows: DataFrame) -> DataFrame:
-    """(doc, th, h): a document's minimizers that some other document has too (and few more).
+    """A written table (doc, th, h): a document's minimizers that some other document has too (and few more).
 
     A task names what its own batch shares; only one row per minimizer and batch is shuffled."""
     def look(batches):
@@ -135,7 +135,9 @@ def shared_minimizers(rows: DataFrame) -> DataFrame:
 
     asked = seen.where("kind <> 1").repartition("h").sortWithinPartitions("h")
     answered = asked.mapInArrow(match, "doc long, th long, h long")
-    return seen.where("kind > 0").select("doc", "th", "h").unionByName(answered)
+    out = stored(seen.where("kind > 0").select("doc", "th", "h").unionByName(answered), "sub-shared")
+    discard(seen)
+    return out
 
 
 def _shared(cols):
@@ -149,12 +151,12 @@ def _shared(cols):
 
 
 def occurrences(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    """(doc, th, first, n, at, h, s): fragments of shared minimizers; windows first .. first + n - 1,
+    """A written table (doc, th, first, n, at, h, s, sid): fragments of shared minimizers; windows first .. first + n - 1,
     minimizer ``at`` bytes into the fragment's bytes ``s``."""
     lists = stored(shared.groupBy("doc", "th").agg(F.collect_set("h").alias("hs")), "sub-lists")
 
     def cut(batches):
-        for b in batches:
+        for b in pieces(batches):
             cols = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
             for i, (doc, th, data) in enumerate(zip(*cols)):
                 wanted = np.sort(b.column(3)[i].values.to_numpy(zero_copy_only=False).view(np.uint64))
@@ -171,8 +173,11 @@ def occurrences(rows: DataFrame, shared: DataFrame) -> DataFrame:
                          pa.array([xxhash.xxh3_128_digest(x) for x in s], pa.binary())],
                         names=["doc", "th", "first", "n", "at", "h", "s", "sid"])
 
-    return rows.join(lists, ["doc", "th"]).select("doc", "th", "data", "hs").mapInArrow(
+    cutout = rows.join(lists, ["doc", "th"]).select("doc", "th", "data", "hs").mapInArrow(
         cut, "doc long, th long, first long, n int, at int, h long, s binary, sid binary")
+    out = stored(cutout, "sub-fragments")
+    discard(lists)
+    return out
 
 
 def column_rounds(s: list[bytes], at: np.ndarray, n: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -255,22 +260,26 @@ def _release(df: DataFrame) -> None:
 
 
 def covered_windows(docs: DataFrame) -> DataFrame:
-    """(doc, th, firsts, masks): window starts (first + set bits of mask) that a smaller document has too."""
+    """A written table (doc, th, hits): window starts (first + set bits of mask) that a smaller document has too."""
     rows = keyed(docs)
-    shared = stored(shared_minimizers(rows), "sub-shared")
+    shared = shared_minimizers(rows)
     _release(docs)
-    found = stored(occurrences(rows, shared), "sub-fragments")
+    found = occurrences(rows, shared)
+    discard(shared)
     _release(docs)
     distinct = stored(found.groupBy("sid", "s", "h", "n", "at").agg(F.min("doc").alias("least")), "sub-distinct")
     _release(docs)
     masks = stored(window_masks(distinct), "sub-masks")
     known = stored(distinct.select("sid", "least").join(masks, "sid", "left"), "sub-known")
+    discard(distinct, masks)
     _release(docs)
     every = F.expr("shiftleft(1L, n) - 1")
     hits = found.select("doc", "th", "first", "n", "sid").join(known, "sid") \
         .withColumn("mask", F.when(F.col("doc") > F.col("least"), every).otherwise(F.coalesce("mask", F.lit(0).cast("long")))) \
         .where("mask <> 0")
-    return hits.groupBy("doc", "th").agg(F.collect_set(F.struct("first", "mask")).alias("hits"))
+    out = stored(hits.groupBy("doc", "th").agg(F.collect_set(F.struct("first", "mask")).alias("hits")), "sub-hits")
+    discard(found, known)
+    return out
 
 
 def removed_runs(size: int, firsts: np.ndarray, masks: np.ndarray) -> np.ndarray:
@@ -285,12 +294,12 @@ def removed_runs(size: int, firsts: np.ndarray, masks: np.ndarray) -> np.ndarray
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, kept (the bytes that stay), starts and ends of the removed runs, for every row."""
-    hits = stored(covered_windows(docs), "sub-hits")
+    hits = covered_windows(docs)
     _release(docs)
     rows = keyed(docs).withColumn("doc_id", F.when(F.col("doc") != NO_ID, F.col("doc")))
 
     def cut(batches):
-        for b in batches:
+        for b in pieces(batches):
             out = []
             for i, data in enumerate(b.column(1).to_pylist()):
                 own = b.column(2)[i]
