@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathe.llm.common import stored
+from lathe.llm.common import pieces, stored
 
 SEQUENCE = 2048
 #: Sequences of a window.
@@ -36,8 +36,8 @@ WINDOW = 16
 LANE = 4 << 20
 END = 1
 BLOCK = 1024
-#: Words whose ids a worker remembers.
-REMEMBER = 1_000_000
+#: Words whose ids a worker remembers, in each of two generations.
+REMEMBER = 200_000
 
 _WORKER: dict = {}
 
@@ -59,7 +59,8 @@ class Ids:
         self.ends = np.zeros(n, bool)
         for t, i in self.tok.get_vocab().items():
             self.ends[i] = t.endswith("</w>")
-        self.memory: dict[bytes, bytes] = {}
+        self.memory: dict[bytes, bytes] = {}                     # two generations: words in use move to the young one
+        self.older: dict[bytes, bytes] = {}
         self.runs = Tokenizer(self.tok.model)                    # takes runs as the pre-tokenizer would hand them over
         self.runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -107,8 +108,11 @@ class Ids:
         missing = set(filterfalse(self.memory.__contains__, chain.from_iterable(words)))
         if missing:
             if len(self.memory) + len(missing) > REMEMBER:
-                self.memory = {w: self.memory[w] for w in set(chain.from_iterable(words)) - missing}
-            self.memory.update(self.learn(missing))
+                used = set(chain.from_iterable(words)) - missing
+                self.older, self.memory = self.memory, {w: self.memory[w] for w in used}
+            again = {w: self.older[w] for w in missing if w in self.older}
+            self.memory.update(again)
+            self.memory.update(self.learn(missing.difference(again)))
         known = self.memory.__getitem__
         return [b"".join(map(known, ws)) for ws in words]
 
@@ -123,13 +127,11 @@ def tokenize(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     def run(batches):
         ids = worker_ids(path)
         tail = np.array([end], ids.dtype).tobytes()
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                got = [x + tail for x in ids.of(part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(x) // ids.dtype.itemsize for x in got], pa.int64()),
-                     pa.array(got, pa.binary())], names=["doc_id", "source", "n", "ids"])
+        for part in pieces(batches):
+            got = [x + tail for x in ids.of(part.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array([len(x) // ids.dtype.itemsize for x in got], pa.int64()),
+                 pa.array(got, pa.binary())], names=["doc_id", "source", "n", "ids"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        text.alias("text")).mapInArrow(run, "doc_id long, source string, n long, ids binary")
