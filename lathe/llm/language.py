@@ -14,11 +14,12 @@ further columns are ignored. The whole text counts, in bounded pieces.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lathe.llm.common import pieces
+
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 #: Documents of a language that are learned from (about; a bound of the sample).
@@ -62,7 +63,7 @@ def learn(docs: DataFrame, train: int = TRAIN) -> tuple[list[str], np.ndarray]:
 
     def count(batches):
         sums = {}
-        for b in batches:
+        for b in pieces(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for ids in grams(text):
@@ -97,7 +98,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(logp)
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             got = [score(t, langs, shared.value) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())],
@@ -118,8 +119,11 @@ def keep_identified(docs: DataFrame, least: float = 0.3, train: int = TRAIN) ->
     langs, logp = learn(docs.where(id_hash() % 5 != 0), train)
     shared = docs.sparkSession.sparkContext.broadcast(logp)
 
-    @F.pandas_udf("boolean")
-    def told(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: score(t, langs, shared.value)[1] >= least).astype(bool)
+    place = docs.columns.index("text")
+
+    def told(batches):
+        for b in pieces(batches):
+            keep = [score(t, langs, shared.value)[1] >= least for t in b.column(place).to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.where(told(F.col("text").cast("string")))
+    return docs.mapInArrow(told, docs.schema)

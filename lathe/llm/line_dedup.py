@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathe.llm.common import SPACE, ascii_lower, stored
+from lathe.llm.common import SPACE, ascii_lower, pieces, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -136,7 +136,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
 def digest(rows: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 from :func:`line_dedup`'s rows."""
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             got = [apply_bitmap(t, k) for t, k in zip(b.column(1).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for n, _ in got], pa.int64()), b.column(2),
