@@ -95,7 +95,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def shared_minimizers(rows: DataFrame) -> DataFrame:
-    """A written table (doc, th, h): a document's minimizers that some other document has too (and few more).
+    """A written table (th, h): a text's minimizers that some other document has too (and few more).
 
     A task names what its own batch shares; only one row per minimizer and batch is shuffled."""
     def look(batches):
@@ -113,18 +113,20 @@ def shared_minimizers(rows: DataFrame) -> DataFrame:
             h, at = h[order], at[order]
             new = np.r_[True, h[1:] != h[:-1]]
             many = ~(new & np.r_[new[1:], True])           # more than one document of the batch has it
-            doc, th = b.column(0).to_numpy()[at], b.column(1).to_numpy()[at]
+            th = b.column(1).to_numpy()[at]
             kind = np.where(many, np.where(new, 2, 1), 0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(th), pa.array(kind)],
-                                             names=["h", "doc", "th", "kind"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(th), pa.array(kind)],
+                                             names=["h", "th", "kind"])
 
-    seen = stored(rows.mapInArrow(look, "h long, doc long, th long, kind int"), "sub-seen")
+    seen = stored(rows.mapInArrow(look, "h long, th long, kind int"), "sub-seen")
     # kind 0: alone in its batch; 2: first of several in its batch; 1: further ones, known to be shared
 
     def match(batches):
         rest = None
         for b in batches:
-            cols = [b.column(i).to_numpy() for i in range(4)]
+            cols = [b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False), b.column(1).is_valid().to_numpy(zero_copy_only=False)]
+            if b.column(1).null_count:
+                cols[1] = b.column(1).fill_null(0).to_numpy()
             if rest is not None:
                 cols = [np.concatenate(c) for c in zip(rest, cols)]
             cut = int(np.searchsorted(cols[0], cols[0][-1]))
@@ -133,27 +135,29 @@ def shared_minimizers(rows: DataFrame) -> DataFrame:
         if rest is not None:
             yield from _shared(rest)
 
-    asked = seen.where("kind <> 1").repartition("h").sortWithinPartitions("h")
-    answered = asked.mapInArrow(match, "doc long, th long, h long")
-    out = stored(seen.where("kind > 0").select("doc", "th", "h").unionByName(answered), "sub-shared")
+    # without its text where the answer is known: the row only tells other batches
+    asked = seen.where("kind <> 1").select("h", F.when(F.col("kind") == 0, F.col("th")).alias("th")) \
+        .repartition("h").sortWithinPartitions("h")
+    out = stored(seen.where("kind > 0").select("th", "h").unionByName(asked.mapInArrow(match, "th long, h long")), "sub-shared")
     discard(seen)
     return out
 
 
 def _shared(cols):
-    h, doc, th, kind = cols
+    h, th, open_ = cols
     if not len(h):
         return
     new = np.r_[True, h[1:] != h[:-1]]
-    ok = ~(new & np.r_[new[1:], True]) & (kind == 0)       # several batches have it; kind 2 is named already
+    ok = ~(new & np.r_[new[1:], True]) & open_             # several batches have it
     if ok.any():
-        yield pa.RecordBatch.from_arrays([pa.array(doc[ok]), pa.array(th[ok]), pa.array(h[ok])], names=["doc", "th", "h"])
+        yield pa.RecordBatch.from_arrays([pa.array(th[ok]), pa.array(h[ok])], names=["th", "h"])
 
 
 def occurrences(rows: DataFrame, shared: DataFrame) -> DataFrame:
     """A written table (doc, th, first, n, at, h, s, sid): fragments of shared minimizers; windows first .. first + n - 1,
     minimizer ``at`` bytes into the fragment's bytes ``s``."""
-    lists = stored(shared.groupBy("doc", "th").agg(F.collect_set("h").alias("hs")), "sub-lists")
+    lists = stored(shared.groupBy("th").agg(F.collect_set("h").alias("hs")), "sub-lists")
+    _release(rows)
 
     def cut(batches):
         for b in pieces(batches):
@@ -173,7 +177,7 @@ def occurrences(rows: DataFrame, shared: DataFrame) -> DataFrame:
                          pa.array([xxhash.xxh3_128_digest(x) for x in s], pa.binary())],
                         names=["doc", "th", "first", "n", "at", "h", "s", "sid"])
 
-    cutout = rows.join(lists, ["doc", "th"]).select("doc", "th", "data", "hs").mapInArrow(
+    cutout = rows.join(lists, "th").select("doc", "th", "data", "hs").mapInArrow(
         cut, "doc long, th long, first long, n int, at int, h long, s binary, sid binary")
     out = stored(cutout, "sub-fragments")
     discard(lists)
@@ -254,9 +258,13 @@ def window_masks(distinct: DataFrame) -> DataFrame:
 
 
 def _release(df: DataFrame) -> None:
-    """Let Spark delete the shuffle files of finished steps (their owners are garbage by now)."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished steps: the plans that own them are garbage
+    after one more (empty) job, but the driver's JVM would collect them only when its heap is full."""
+    spark = df.sparkSession
+    for _ in range(2):
+        spark.range(1).count()
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def covered_windows(docs: DataFrame) -> DataFrame:
