@@ -31,8 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences, with the digest of their ids."""
-    path = tokenizer_path()
-    return packing.digest(packing.pack(docs, path), path)
+    return packing.digest(packing.pack(docs, tokenizer_path()))
 
 
 STAGES = [("language_id", identify_language), ("exact_dedup", drop_exact_copies), ("near_dedup", drop_near_copies),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,7 @@ def pieces(batches, rows: int = 256):
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()       # the worker lives on; what its task held goes back
 
 
 def ascii_lower(c: Column) -> Column:

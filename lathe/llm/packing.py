@@ -37,7 +37,7 @@ LANE = 4 << 20
 END = 1
 BLOCK = 1024
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBER = 200_000
+REMEMBER = 150_000
 
 _WORKER: dict = {}
 
@@ -173,8 +173,8 @@ def round_robin(queues: dict, deficit: dict, share: dict, window: int):
 
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), *[(c, pa.int64()) for c in (
-    "start", "length", "doc_tokens", "sequence_id", "offset")], ("ids", pa.binary())])
-PIECES = ("doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32")], ("ids", pa.binary())])
+PIECES = ("doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids binary")
 
 
 def _pack_lane(share: dict, sequence: int, window: int):
@@ -187,13 +187,18 @@ def _pack_lane(share: dict, sequence: int, window: int):
         deficit = dict.fromkeys(share, 0.0)
         deficit.update(zip(carry.column("source").to_pylist(), carry.column("deficit").to_pylist()))
         width = len(ids[0]) // n[0] if n else 2
+        narrow = np.dtype(f"<u{width}")
+
+        def wide(x: bytes) -> bytes:
+            return np.frombuffer(x, narrow).astype("<u4").tobytes()
+
         out, at = [], 0
         base = key[0].as_py() << 32
         for s, i, start, length in round_robin(queues, deficit, share, sequence * window):
             while length:                            # cut at the ends of sequences
                 m = min(length, sequence - at % sequence)
                 out.append((doc_id[i], s, start, m, n[i], base + at // sequence, at % sequence,
-                            ids[i][start * width:(start + m) * width]))
+                            zlib.crc32(wide(ids[i][start * width:(start + m) * width])), ids[i][start * width:(start + m) * width]))
                 start, length, at = start + m, length - m, at + m
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), SCHEMA.types)], schema=SCHEMA) if out \
             else SCHEMA.empty_table()
@@ -234,14 +239,6 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, window: int = WIN
         _pack_lane(share, sequence, window), PIECES)
 
 
-def digest(pieces: DataFrame, path: str) -> DataFrame:
+def digest(pieces_: DataFrame) -> DataFrame:
     """The pieces with ids_crc32 (over little-endian unsigned 32-bit ids) in place of their ids."""
-    def run(batches):
-        dtype = np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
-        for b in batches:
-            crc = [zlib.crc32(np.frombuffer(x, dtype).astype("<u4").tobytes()) for x in b.column(7).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), b.column(3), pa.array(crc, pa.int64()), b.column(4), b.column(5), b.column(6), b.column(1)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
-    vocabulary = Ids(path).tok.get_vocab_size()
-    return pieces.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
+    return pieces_.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")

@@ -18,8 +18,7 @@ def op1_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), path), path)
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

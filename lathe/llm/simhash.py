@@ -155,7 +155,7 @@ def _compare(lo, hi, lo2, hi2):
     """All key pairs of the given small node pairs, in chunks."""
     at, n = 0, (hi - lo) * (hi2 - lo2)
     while at < len(lo):
-        end = at + max(1, int(np.searchsorted(np.cumsum(n[at:]), CHUNK * 16, side="right")))
+        end = at + max(1, int(np.searchsorted(np.cumsum(n[at:]), CHUNK * 4, side="right")))
         c = n[at:end]
         row = np.repeat(np.arange(at, end), c)
         k = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
