@@ -2,8 +2,9 @@
 
 Pattern: ``groupBy(key).agg(...)`` (partial + final aggregation, so a hot
 group is pre-combined map-side and never collected into one task) followed
-by one left join back on the key. All statistics of one key share one
-aggregate and one join; AQE's skew-join splits a hot key on the row side.
+by one left join back on the key (``lookup.join_back``). All statistics of one
+key share one aggregate and one join; both join sides have their own shuffle,
+so AQE's skew-join can split a hot key on the row side.
 Keys with few, huge groups (deck, side) use a size-checked broadcast.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.functions.columns import c, last_token
-from lathe.operators.lookup import join_small
+from lathe.operators.lookup import join_back, join_small
 
 
 def group_stats(df: DataFrame, key: str | list[str], aggs: dict[str, Column]) -> DataFrame:
@@ -22,7 +23,7 @@ def group_stats(df: DataFrame, key: str | list[str], aggs: dict[str, Column]) ->
     clash = [n for n in aggs if n in df.columns]
     base = df.drop(*clash) if clash else df
     stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
-    return base.join(stats, on=keys, how="left")
+    return join_back(base, stats, keys)
 
 
 def cryo_int(col: str = "CryoSleep") -> Column:
@@ -65,7 +66,7 @@ def group_share(df: DataFrame, value: Column, key: str = "TravelGroup", share: s
     tmp = group_stats(tmp, key, {"__gs_sum": F.sum("__gs_x")})
     return (tmp.withColumns({
         share: F.col("__gs_x") / (F.col("__gs_sum") + F.lit(1.0)),
-        others_log: F.log1p(F.col("__gs_sum") - F.col("__gs_x")),
+        others_log: F.log1p(F.greatest(F.col("__gs_sum") - F.col("__gs_x"), F.lit(0.0))),
     }).drop("__gs_x", "__gs_sum"))
 
 
@@ -109,7 +110,7 @@ def neighborhood_density(df: DataFrame, key: str = "Deck", position: str = "Cabi
             .agg((F.sum("__nd_n") - 1).cast("double").alias(out)))
     base = df.drop(out) if out in df.columns else df
     # rows whose key or position is null have no neighbours by this rule
-    return base.join(dens, on=[key, position], how="left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    return join_back(base, dens, [key, position]).withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
 
 
 # ------------------------------------------------------------------ D10
@@ -118,7 +119,7 @@ def name_frequency(df: DataFrame, name_col: str = "Name", out: str = "FamilySize
     tmp = df.withColumn("__nf_last", last_token(name_col))
     counts = (tmp.where(F.col("__nf_last").isNotNull())
               .groupBy("__nf_last").agg(F.count(F.lit(1)).alias("__nf_n")))
-    return (tmp.join(counts, on="__nf_last", how="left")
+    return (join_back(tmp, counts, ["__nf_last"])
             .withColumn(out, F.coalesce(F.col("__nf_n"), F.lit(1)).cast("int"))
             .drop("__nf_last", "__nf_n"))
 
@@ -132,6 +133,6 @@ def side_spending_diff(df: DataFrame, key: str = "CabinNumber", side: str = "Sid
     stats = df.groupBy(key).agg(
         F.avg(F.when(c(side) == a, c(value))).alias("__sd_a"),
         F.avg(F.when(c(side) == b, c(value))).alias("__sd_b"))
-    return (df.join(stats, on=key, how="left")
+    return (join_back(df, stats, [key])
             .withColumn(out, F.abs(F.coalesce(F.col("__sd_a"), F.lit(0.0)) - F.coalesce(F.col("__sd_b"), F.lit(0.0))))
             .drop("__sd_a", "__sd_b"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lathe.functions.columns import UNKNOWN, c, is_true, positive_count
 from lathe.operators.groups import group_stats
-from lathe.operators.lookup import mapping_expr
+from lathe.operators.lookup import join_back, mapping_expr
 
 
 def median_expr(x: Column, exact: bool = True, accuracy: int = 10_000) -> Column:
@@ -110,7 +110,7 @@ def impute_group_median(df: DataFrame, col: str = "Age", key: str = "TravelGroup
                         exact: bool = True) -> DataFrame:
     """Null -> median of the group (stays null if the group has none)."""
     med = group_medians(df, key, [col], exact)
-    tmp = df.join(med, on=key, how="left")
+    tmp = join_back(df, med, [key])
     return tmp.withColumn(col, F.coalesce(c(col), F.col(f"__gm_{col}"))).drop(f"__gm_{col}")
 
 
@@ -119,7 +119,7 @@ def impute_spend_group_aware(df: DataFrame, cols: list[str], key: str = "TravelG
                              cryo: str = "CryoSleep", exact: bool = True) -> DataFrame:
     """Null & cryo -> 0; null & not cryo -> group median -> global median -> 0."""
     gmed = global_medians(df, cols, exact)
-    tmp = df.join(group_medians(df, key, cols, exact), on=key, how="left")
+    tmp = join_back(df, group_medians(df, key, cols, exact), [key])
     cryo_true = is_true(cryo)
     upd = {}
     for x in cols:

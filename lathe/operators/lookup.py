@@ -57,15 +57,36 @@ def mapping_expr(col: str | Column, mapping: dict, default=None) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+def join_back(df: DataFrame, stats: DataFrame, on: list[str]) -> DataFrame:
+    """Left join of rows with a table of one row per key that was aggregated by that key.
+
+    The aggregate is already partitioned by the key, so a plain join would put no
+    shuffle above it and AQE could not split a hot key's rows. Its keys go through
+    an expression that keeps their value and hides the partitioning: both sides
+    then have a shuffle of their own.
+    """
+    kinds = dict(stats.dtypes)
+    keys = []
+    for k in on:
+        x = F.col(k)
+        if kinds[k] == "string":
+            x = F.concat(x, F.lit(""))
+        elif kinds[k] in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+            x = (x + F.lit(0)).cast(kinds[k])
+        keys.append(x.alias(k))
+    values = [F.col(k) for k in stats.columns if k not in on]
+    return df.join(stats.select(*keys, *values), on=on, how="left")
+
+
 def semi_join_flag(df: DataFrame, known: DataFrame, key: str, out: str,
                    known_key: str | None = None) -> DataFrame:
     """1 if ``key`` occurs in ``known`` (``isin(index)``), else 0; null key -> 0."""
     kk = known_key or key
     keys = known.select(F.col(kk).alias("__sj_key")).where(F.col("__sj_key").isNotNull()).distinct() \
         .withColumn("__sj_hit", F.lit(1))
-    return (df.join(keys, F.col(key) == F.col("__sj_key"), "left")
+    return (join_back(df, keys.withColumnRenamed("__sj_key", key), [key])
             .withColumn(out, F.coalesce(F.col("__sj_hit"), F.lit(0)))
-            .drop("__sj_key", "__sj_hit"))
+            .drop("__sj_hit"))
 
 
 def id_align(left: DataFrame, right: DataFrame, id_col: str) -> DataFrame:

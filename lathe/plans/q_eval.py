@@ -18,18 +18,18 @@ from lathe.plans.q_rows import base
 from lathe.plans.sqlfrag import base_cte
 from lathe.sources.fixtures import ID_COL, SCORE_SQL, TARGET, passengers, with_score
 
-ORDER_NO = "CAST(substr(PassengerId,10) AS BIGINT)"
-HASH_SQL = f"CAST(({ORDER_NO} * 2654435761) % 4294967296 AS DOUBLE)"
+ORDER_NO = "CAST(split_part(PassengerId, '_', 2) AS BIGINT)"
+HASH_SQL = f"CAST(({ORDER_NO} % 2147483648 * 2654435761) % 4294967296 AS DOUBLE)"
 Y = "CAST(Transported AS INTEGER)"
 
 
 def order_no():
-    return F.substring(F.col(ID_COL), 10, 100).cast("bigint")
+    return F.split_part(F.col(ID_COL), F.lit("_"), F.lit(2)).cast("bigint")
 
 
 def split_hash():
     """Arithmetic id hash shared with the SQL oracle (any id hash works in the library)."""
-    return ((order_no() * F.lit(2654435761)) % F.lit(4294967296)).cast("double")
+    return ((order_no() % F.lit(2147483648) * F.lit(2654435761)) % F.lit(4294967296)).cast("double")
 
 
 def scored(spark, sf):

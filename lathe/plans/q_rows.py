@@ -460,7 +460,7 @@ def q_semi_join_flag(spark, sf):
 
 @register("id_align_join", with_passengers(
     f"SELECT t.PassengerId, CAST(t.Transported AS INTEGER) AS y_true, s.score FROM passengers t JOIN "
-    f"(SELECT PassengerId, cast((cast(substr(PassengerId,10) AS bigint)*7919)%1000 AS double)/1000 AS score "
+    f"(SELECT PassengerId, cast((cast(split_part(PassengerId,'_',2) AS bigint)%1000*7919)%1000 AS double)/1000 AS score "
     f"FROM passengers WHERE Age IS NOT NULL) s ON t.PassengerId = s.PassengerId"))
 def q_id_align(spark, sf):
     from lathe.sources.fixtures import with_score

@@ -32,6 +32,8 @@ NULL_RULES = {
     "RoomService": (31, 1), "FoodCourt": (37, 1), "ShoppingMall": (29, 1),
     "Spa": (67, 1), "VRDeck": (71, 1), "Name": (73, 1),
 }
+# Digits of either id part: wider than any 64-bit number, so padding never cuts one.
+ID_WIDTH = 20
 DECK_LETTERS = "ABCDEFGT"
 
 ID_COL = "PassengerId"
@@ -91,8 +93,8 @@ def derive_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     c = F.col("o_custkey")
     finished = F.col("o_orderstatus") == "F"
-    pid = F.concat(F.lpad((c * 4 + k % 4).cast("string"), 8, "0"), F.lit("_"),
-                   F.lpad(k.cast("string"), 8, "0"))
+    pid = F.concat(F.lpad((c * 4 + k % 4).cast("string"), ID_WIDTH, "0"), F.lit("_"),
+                   F.lpad(k.cast("string"), ID_WIDTH, "0"))
     cabin = F.concat(F.substring(F.lit(DECK_LETTERS), (F.lit(1) + c % 8).cast("int"), F.lit(1)),
                      F.lit("/"), (k % 1900).cast("string"), F.lit("/"),
                      F.when(k % 2 == 0, F.lit("P")).otherwise(F.lit("S")))
@@ -102,7 +104,7 @@ def derive_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_unless(k, "CryoSleep", finished).alias("CryoSleep"),
         _null_unless(k, "Cabin", cabin).alias("Cabin"),
         _null_unless(k, "Destination", F.col("o_orderpriority")).alias("Destination"),
-        _null_unless(k, "Age", ((k * 37) % 80).cast("double")).alias("Age"),
+        _null_unless(k, "Age", ((k % 80 * 37) % 80).cast("double")).alias("Age"),
         _null_unless(k, "VIP", F.col("c_mktsegment") == "BUILDING").alias("VIP"),
     ]
     for i, name in enumerate(SPEND_COLS):
@@ -115,8 +117,8 @@ def derive_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_score(df: DataFrame, id_col: str = ID_COL, name: str = "score") -> DataFrame:
     """Deterministic probability column used by score-based keys (no model needed)."""
-    order_no = F.substring(F.col(id_col), 10, 100).cast("bigint")
-    return df.withColumn(name, ((order_no * 7919) % 1000).cast("double") / 1000.0)
+    order_no = F.split_part(F.col(id_col), F.lit("_"), F.lit(2)).cast("bigint")
+    return df.withColumn(name, ((order_no % 1000 * 7919) % 1000).cast("double") / 1000.0)
 
 
 # ---------------------------------------------------------------------------
@@ -132,7 +134,7 @@ PASSENGERS_CTE = """WITH spend AS (
   MIN(p_name) AS nm
  FROM lineitem JOIN part ON l_partkey=p_partkey GROUP BY l_orderkey),
 passengers AS (
-SELECT concat(lpad(cast(o_custkey*4 + o_orderkey%4 AS varchar(20)),8,'0'),'_',lpad(cast(o_orderkey AS varchar(20)),8,'0')) AS PassengerId,
+SELECT concat(lpad(cast(o_custkey*4 + o_orderkey%4 AS varchar(20)),20,'0'),'_',lpad(cast(o_orderkey AS varchar(20)),20,'0')) AS PassengerId,
  CASE WHEN o_orderkey%47=3 THEN NULL ELSE r_name END AS HomePlanet,
  CASE WHEN o_orderkey%43=4 THEN NULL WHEN o_orderstatus='F' THEN true ELSE false END AS CryoSleep,
  CASE WHEN o_orderkey%53=7 THEN NULL ELSE concat(substr('ABCDEFGT',cast(1+o_custkey%8 AS int),1),'/',cast(o_orderkey%1900 AS varchar(20)),'/',CASE WHEN o_orderkey%2=0 THEN 'P' ELSE 'S' END) END AS Cabin,
@@ -149,4 +151,4 @@ SELECT concat(lpad(cast(o_custkey*4 + o_orderkey%4 AS varchar(20)),8,'0'),'_',lp
 FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey
 LEFT JOIN spend ON o_orderkey=l_orderkey)"""
 
-SCORE_SQL = "cast((cast(substr(PassengerId,10) AS bigint)*7919)%1000 AS double)/1000"
+SCORE_SQL = "cast((cast(split_part(PassengerId,'_',2) AS bigint)%1000*7919)%1000 AS double)/1000"
