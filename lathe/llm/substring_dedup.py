@@ -292,11 +292,10 @@ def covered_windows(docs: DataFrame) -> DataFrame:
 
 def removed_runs(size: int, firsts: np.ndarray, masks: np.ndarray) -> np.ndarray:
     """Boolean array of the bytes covered by the windows."""
-    edge = np.zeros(size + 1, np.int64)
-    for i in range(SPAN):
-        starts = firsts[(masks >> i) & 1 == 1] + i
-        np.add.at(edge, starts, 1)
-        np.add.at(edge, starts + LENGTH, -1)
+    bits = np.arange(SPAN)
+    starts = (firsts[:, None] + bits)[(masks[:, None] >> bits) & 1 == 1]
+    edge = np.bincount(starts, minlength=size + 1)
+    edge -= np.bincount(starts + LENGTH, minlength=size + 1)
     return np.cumsum(edge[:-1]) > 0
 
 
