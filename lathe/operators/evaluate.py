@@ -18,12 +18,15 @@ from lathe.operators.ranks import exclusive_prefix, roc_auc
 
 # ------------------------------------------------------------------ J1/J2
 def class_rank(df: DataFrame, label: str, order: Column, id_col: str, buckets: int | None = None) -> DataFrame:
-    """0-based rank of each row inside its class by ``(order, id)``; adds ``__rank``, ``__n_class``."""
-    t = df.withColumn("__ord", order.cast("double")).withColumn("__one", F.lit(1))
-    ranked = exclusive_prefix(t, [label], "__ord", ["__one"], buckets, suffix="_rank", tiebreak=[id_col])
-    sizes = t.groupBy(label).agg(F.count(F.lit(1)).alias("__n_class"))
-    out = join_small(ranked, sizes, on=label, how="left", max_rows=1_000)  # one row per class
-    return out.withColumnRenamed("__one_rank", "__rank").drop("__one", "__ord")
+    """0-based rank of each row inside its class by ``(order, id)``; adds ``__rank``, ``__n_class``.
+
+    Null labels are a class of their own, so every row has a rank."""
+    cls = F.when(c(label).isNull(), "null").otherwise(F.concat(F.lit("="), c(label).cast("string")))
+    t = df.withColumns({"__cls": cls, "__ord": order.cast("double"), "__one": F.lit(1)})
+    ranked = exclusive_prefix(t, ["__cls"], "__ord", ["__one"], buckets, suffix="_rank", tiebreak=[id_col])
+    sizes = t.groupBy("__cls").agg(F.count(F.lit(1)).alias("__n_class"))
+    out = join_small(ranked, sizes, on="__cls", how="left", max_rows=1_000)  # one row per class
+    return out.withColumnRenamed("__one_rank", "__rank").drop("__one", "__ord", "__cls")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, order: Column, test_size: float = 0.2) -> DataFrame:
@@ -156,6 +159,20 @@ def champion(candidates: DataFrame, name: str = "model", metric: str = "val_accu
     return best.select("winner", F.col("metric").alias(metric), promoted.alias("promoted"))
 
 
+def promote(best: DataFrame, tuned: DataFrame, metric: str = "val_accuracy", current: float | None = None) -> DataFrame:
+    """The winner's accuracy after threshold tuning, and whether it is promoted.
+
+    ``best`` is ``champion``'s row, ``tuned`` the winner's ``threshold_search`` row. The tuned
+    threshold is kept only if it is strictly better than the default 0.5; the effective accuracy
+    has to beat ``current`` strictly (no champion yet: promoted)."""
+    t = tuned.first()                                 # one row
+    better = F.coalesce(F.lit(t["best_accuracy"]) > F.col(metric), F.lit(False)) if t else F.lit(False)
+    out = best.select("winner", F.col(metric).alias("val_accuracy_default_threshold"),
+                      F.when(better, F.lit(t["best_accuracy"] if t else None)).otherwise(F.col(metric)).alias(metric),
+                      F.when(better, F.lit(t["best_threshold"] if t else None)).otherwise(F.lit(0.5)).alias("best_threshold"))
+    return out.withColumn("promoted", F.lit(True) if current is None else F.col(metric) > F.lit(current))
+
+
 def prediction_distribution(df: DataFrame, pred: str, dp: int = 2) -> DataFrame:
     """Counts and % of each predicted class."""
     counts = df.groupBy(c(pred).alias(pred)).agg(F.count(F.lit(1)).alias("count"))

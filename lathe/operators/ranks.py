@@ -148,7 +148,8 @@ def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[fl
     if len(est) > 100_000:
         raise ValueError("exact_quantiles: more than 100000 parts; use percentile_approx")
     if not est:
-        return long.sparkSession.createDataFrame([], "q_index int, quantile double")
+        empty = src.select(*key).limit(0).withColumns({"q_index": F.lit(0), "quantile": F.lit(0.0)})
+        return empty.drop("__q_all") if not part else empty
     if max(int(r["__q_d"]) for r in est) * 1.25 <= MERGE_DISTINCT_LIMIT:
         # every part has a bounded number of distinct values: Spark's exact percentile merges at most
         # that many (value, count) entries in one task, so one more pass finishes the job
@@ -168,8 +169,6 @@ def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[fl
             lo = int(pos // 1)
             hi = min(lo + 1, n - 1)
             wanted.append((*[r[k] for k in key], qi, lo, hi, float(pos - lo)))
-    if not wanted:
-        return long.sparkSession.createDataFrame([], "q_index int, quantile double")
     schema = sizes.select(*key).schema
     from pyspark.sql import types as T
     wschema = T.StructType([*schema.fields, T.StructField("q_index", T.IntegerType()),

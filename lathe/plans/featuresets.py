@@ -13,16 +13,18 @@ keys with few, large groups (deck) use a size-checked broadcast.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.functions import columns as col
 from lathe.operators import encode as enc
 from lathe.operators import groups as grp
 from lathe.operators import impute as imp
+from lathe.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded_table
 from lathe.session import cut_lineage, materialize_if_large
+from lathe.sources.io import load_fit_state, save_fit_state
 
 
 @dataclass(frozen=True)
@@ -205,14 +207,20 @@ class FeatureSet:
     def rows(self, df: DataFrame, b: Binding, train: bool = True, age_median: float | None = None) -> DataFrame:
         return self.pipeline(df, b, not train, age_median)
 
-    def fit(self, df: DataFrame, b: Binding = Binding(), checkpoint: bool | None = None) -> "FittedFeatureSet":
+    def fit(self, df: DataFrame, b: Binding = Binding(), checkpoint: bool | None = None,
+            train_ids: DataFrame | None = None) -> "FittedFeatureSet":
         """Fit encoders and scaler on the train-mode rows.
 
+        Row features see all of ``df``; with ``train_ids`` (one id column) encoders, scaler and the
+        age median learn from those rows only, so held-out labels never reach a feature.
+
         The rows feed several passes (category statistics, age median, scaler);
         ``checkpoint=None`` materialises them into ``spark.checkpoint.dir`` when
         the scanned input is estimated above 1 GiB, ``True``/``False`` force the choice.
         """
         rows = _label_encode(self.rows(df, b, train=True))
+        if train_ids is not None:
+            rows = rows.join(train_ids.select(b.id_col), on=b.id_col, how="left_semi")
         if checkpoint is None:
             rows = materialize_if_large(rows, size_of=df)
         elif checkpoint:
@@ -246,20 +254,22 @@ class FittedFeatureSet:
     feature_cols: list[str] = field(default_factory=list)
     age_median: float | None = None
 
-    def _encode(self, rows: DataFrame, train: bool) -> DataFrame:
+    def _encode(self, rows: DataFrame, train: bool, fill_unseen: bool | None = None) -> DataFrame:
         b = self.binding
         df = rows
         for x, te in self.target_encoders.items():
-            df = te.apply(df, f"{x}_TE", fill_unseen=not train)
+            df = te.apply(df, f"{x}_TE", fill_unseen=not train if fill_unseen is None else fill_unseen)
         df = enc.one_hot_apply(df, self.one_hot)
         drop = [x for x in (*self.fs.drop, "CryoSleep", "Side", *self.fs.target_encode) if x != b.id_col]
         df = col.drop_if_present(df, drop)
         return col.bool_to_int(df.withColumn(b.target, F.col(b.target).cast("int")) if b.target in df.columns else df)
 
     def transform(self, df: DataFrame, train: bool = False, test_median: str = "fitted",
-                  scaled: bool = True) -> DataFrame:
+                  scaled: bool = True, fill_unseen: bool | None = None) -> DataFrame:
         """Feature matrix with ``id`` (and the target when present) in front.
 
+        ``fill_unseen`` gives categories the encoders never saw the mean of means (default: in test mode).
+
         ``train=True`` replays the training path (null ages dropped).
         Test mode imputes Age with the fitted train median (``test_median="self"``
         uses the median of ``df`` itself, as the reference does).
@@ -267,11 +277,34 @@ class FittedFeatureSet:
         b = self.binding
         med = None if test_median == "self" else self.age_median
         rows = _label_encode(self.fs.rows(df, b, train=train, age_median=med))
-        matrix = self._encode(rows, train=train)
+        matrix = self._encode(rows, train=train, fill_unseen=fill_unseen)
         keep = [b.id_col] + ([b.target] if b.target in matrix.columns else [])
         out = col.align_schema(matrix, self.feature_cols, keep=keep)
         return self.scaler.apply(out) if scaled else out
 
+    def save(self, spark: SparkSession, root: str) -> str:
+        """Write the fitted state: one table per target encoder and one metadata row."""
+        meta = {"feature_set": self.fs.name, "binding": asdict(self.binding), "one_hot": self.one_hot,
+                "scaler": self.scaler.stats, "feature_cols": self.feature_cols, "age_median": self.age_median,
+                "encoders": {x: te.default for x, te in self.target_encoders.items()}}
+        tables = {f"te_{i}": te.table for i, te in enumerate(self.target_encoders.values())}
+        return save_fit_state(tables, meta, root, spark)
+
+    @staticmethod
+    def load(spark: SparkSession, root: str) -> "FittedFeatureSet":
+        """The fitted state that ``save`` wrote, ready to transform; nothing is fitted again."""
+        _, meta = load_fit_state(spark, root, [])
+        tables, _ = load_fit_state(spark, root, [f"te_{i}" for i in range(len(meta["encoders"]))])
+        encoders = {}
+        for (x, default), table in zip(meta["encoders"].items(), tables.values()):
+            local = bounded_table(table, DEFAULT_BROADCAST_ROWS)
+            encoders[x] = enc.TargetEncoding(x, table if local is None else local, default, local is not None)
+        plain = {k: tuple(tuple(v) if isinstance(v, list) else v for v in x) if isinstance(x, list) else x
+                 for k, x in meta["binding"].items()}
+        scaler = enc.Scaler({x: (mean, scale) for x, (mean, scale) in meta["scaler"].items()})
+        return FittedFeatureSet(FEATURE_SETS[meta["feature_set"]], Binding(**plain), encoders, meta["one_hot"], scaler,
+                                meta["feature_cols"], meta["age_median"])
+
 
 # ------------------------------------------------------------------ registry (fixed lists of the reference)
 FS001_NUMERIC = ("Age", "RoomService", "FoodCourt", "ShoppingMall", "Spa", "VRDeck",

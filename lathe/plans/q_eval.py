@@ -192,11 +192,20 @@ def q_soft_vote(spark, sf):
 
 
 @register("champion_select", with_passengers(
-    "SELECT model AS winner, acc AS val_accuracy, acc > 0.5 AS promoted FROM cand ORDER BY acc DESC, ord LIMIT 1",
-    _SPLIT_CTE + ",\ncand AS (" + "\nUNION ALL ".join(
-        f"SELECT '{m}' AS model, {o} AS ord, round(avg(CAST(CAST({s} >= 0.5 AS INTEGER) = {Y} AS INTEGER)), 4) AS acc FROM val"
-        for o, (m, s) in enumerate([("m1", SCORE_SQL), ("m2", SCORE2_SQL), ("m3", SCORE3_SQL)])) + ")"))
+    "SELECT best.model AS winner, acc AS val_accuracy_default_threshold, greatest(acc, thr.a) AS val_accuracy, "
+    "CASE WHEN thr.a > acc THEN thr.t ELSE 0.5 END AS best_threshold, greatest(acc, thr.a) > 0.5 AS promoted "
+    "FROM best JOIN thr ON true",
+    _SPLIT_CTE + ",\nsc AS (" + "\nUNION ALL ".join(
+        f"SELECT '{m}' AS model, {o} AS ord, {Y} AS y, {s} AS score FROM val"
+        for o, (m, s) in enumerate([("m1", SCORE_SQL), ("m2", SCORE2_SQL), ("m3", SCORE3_SQL)])) + "),\n"
+    "cand AS (SELECT model, ord, round(avg(CAST((score >= 0.5) = (y = 1) AS INTEGER)), 4) AS acc FROM sc GROUP BY model, ord),\n"
+    "best AS (SELECT * FROM cand ORDER BY acc DESC, ord LIMIT 1),\n"
+    f"g AS (SELECT i, {LINSPACE_SQL} AS t FROM range(200) r(i)),\n"
+    "grid AS (SELECT i, t, avg(CASE WHEN (score >= t) = (y = 1) THEN 1.0 ELSE 0.0 END) AS a "
+    "FROM g, (SELECT * FROM sc WHERE model = (SELECT model FROM best)) GROUP BY i, t),\n"
+    "thr AS (SELECT round(t, 4) AS t, round(CAST(a AS DOUBLE), 4) AS a FROM grid ORDER BY grid.a DESC, i LIMIT 1)"))
 def q_champion(spark, sf):
+    """The best of three score tables, its threshold tuned, promoted over a champion at 0.5."""
     df = passengers(spark, sf)
     val = ev.stratified_split(df, TARGET, ID_COL, split_hash()).where(F.col("is_val"))
     y = F.col(TARGET).cast("int")
@@ -207,7 +216,10 @@ def q_champion(spark, sf):
                         .alias(k) for k in sc])
     cands = accs.select(F.inline(F.array(*[F.struct(F.lit(k).alias("model"), F.lit(i).alias("order"),
                                                      F.col(k).alias("val_accuracy")) for i, k in enumerate(sc)])))
-    return ev.champion(cands, current=0.5)
+    best = ev.champion(cands)
+    winner = best.first()["winner"]
+    tuned = ev.threshold_search(with_s, TARGET, "score" if winner == "m1" else winner, 0.3, 0.7, 200, grid=linspace_t)
+    return ev.promote(best, tuned, current=0.5)
 
 
 @register("prediction_distribution", with_passengers(

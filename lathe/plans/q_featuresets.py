@@ -52,7 +52,7 @@ _FITTED: dict[tuple[str, str, str], FittedFeatureSet] = {}
 
 def fitted(spark, sf: str, name: str) -> FittedFeatureSet:
     """Fit once per (session, data, feature set); the fit state is a few small tables."""
-    key = (str(id(spark)), sf, name)
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _FITTED:
         _FITTED[key] = FEATURE_SETS[name].fit(passengers(spark, sf), FIXTURE_BINDING)
     return _FITTED[key]
@@ -310,5 +310,5 @@ def q_feature_pipeline_apply(spark, sf):
     with the fitted median, unseen categories -> TE mean of means / all-zero one-hot)."""
     fs = FEATURE_SETS["fs_012"]
     df = passengers(spark, sf)
-    fit = fs.fit(df.where(F.col("Age").isNotNull() & (F.col("Destination") != "5-LOW")), FIXTURE_BINDING)
+    fit = fs.fit(df.where(F.col("Age").isNotNull() & ~F.col("Destination").eqNullSafe("5-LOW")), FIXTURE_BINDING)
     return round_doubles(fit.transform(df, train=False))

@@ -55,14 +55,12 @@ def q_schema_profile(spark, sf):
     return pf.schema_profile(passengers(spark, sf), RAW_COLS)
 
 
-_DUP_COLS = ["HomePlanet", "CryoSleep", "Destination", "VIP", "Transported"]
-
-
 @register("duplicate_rows", with_passengers(
-    f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, {len(_DUP_COLS)} AS n_cols, CAST(sum(n - 1) AS BIGINT) AS n_duplicates "
-    f"FROM (SELECT count(*) AS n FROM passengers GROUP BY {', '.join(_DUP_COLS)})"))
+    f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, {len(RAW_COLS)} AS n_cols, CAST(sum(n - 1) AS BIGINT) AS n_duplicates "
+    f"FROM (SELECT count(*) AS n FROM passengers GROUP BY {', '.join(RAW_COLS)})"))
 def q_duplicate_rows(spark, sf):
-    return pf.duplicate_rows(passengers(spark, sf), _DUP_COLS)
+    """Whole-row duplicates, all 14 columns."""
+    return pf.duplicate_rows(passengers(spark, sf), RAW_COLS)
 
 
 @register("target_balance", with_passengers(
@@ -186,14 +184,21 @@ def q_correlation_matrix(spark, sf):
     return pf.correlation_matrix(passengers(spark, sf), RAW_NUMERIC)
 
 
-_dct, _dcb = chi2_sql("g", {"GroupSize": "GroupSize", "SpendingCategories": "SpendingCategories"})
+_dct, _dcb = chi2_sql("g", {"GroupSize": "GroupSize", "SpendingCategories": "SpendingCategories"},
+                      extra_select=f", (SELECT round(corr({total_sql()}, {Y}), 4) FROM passengers) AS r_raw"
+                                   f", (SELECT round(corr(ln(1 + {total_sql()}), {Y}), 4) FROM passengers) AS r_log")
 
 
 @register("derived_analysis", with_passengers(
     _dcb, base_cte() + ",\ng AS (SELECT *, count(*) OVER (PARTITION BY TravelGroup) AS GroupSize FROM b),\n" + _dct))
 def q_derived_analysis(spark, sf):
+    """chi2 of GroupSize and SpendingCategories, with the correlation of raw and log total spending."""
     df = grp.group_size(base(spark, sf))
-    return pf.chi2_test(df, ["GroupSize", "SpendingCategories"], TARGET)
+    total = col.total(SPEND_COLS)
+    r = passengers(spark, sf).agg(*[rnd(F.corr(e, F.col(TARGET).cast("double")), 4).alias(n)
+                                    for n, e in (("r_raw", total), ("r_log", F.log1p(total)))]).first()
+    return pf.chi2_test(df, ["GroupSize", "SpendingCategories"], TARGET) \
+        .withColumns({n: F.lit(r[n]).cast("double") for n in ("r_raw", "r_log")})
 
 
 _cct, _ccb = chi2_sql("cab", {"Deck": "Deck", "Side": "Side"},
@@ -210,6 +215,16 @@ def q_cabin_analysis(spark, sf):
     return pf.chi2_test(df, ["Deck", "Side"], TARGET).withColumn("cabin_null_pct", F.lit(pct))
 
 
+@register("cabin_home_deck", with_passengers(
+    f"SELECT HomePlanet, Deck, count(*) AS n FROM (SELECT HomePlanet, {DECK} AS Deck FROM passengers WHERE Cabin IS NOT NULL) "
+    "WHERE HomePlanet IS NOT NULL AND Deck IS NOT NULL GROUP BY HomePlanet, Deck"))
+def q_cabin_home_deck(spark, sf):
+    """Passengers per HomePlanet and Deck, in long form (an absent pair has none)."""
+    df = col.split_cabin(passengers(spark, sf).where(F.col("Cabin").isNotNull()), number_default=None)
+    df = df.where(F.col("HomePlanet").isNotNull() & F.col("Deck").isNotNull())
+    return df.groupBy("HomePlanet", "Deck").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("pivot_rate", with_passengers(
     f"SELECT HomePlanet, round(avg(CASE WHEN NOT CryoSleep THEN {Y} END),4) AS \"False\", "
     f"round(avg(CASE WHEN CryoSleep THEN {Y} END),4) AS \"True\" FROM passengers "

@@ -77,13 +77,13 @@ def write_predictions(df: DataFrame, path: str, id_col: str = "PassengerId",
     return path
 
 
-def save_fit_state(state: dict[str, DataFrame], meta: dict, root: str) -> str:
+def save_fit_state(state: dict[str, DataFrame], meta: dict, root: str, spark: SparkSession | None = None) -> str:
     """A5: fitted state = small Parquet fit tables + one JSON metadata row."""
     root = root.rstrip("/")
     for name, table in state.items():
         table.write.mode("overwrite").parquet(f"{root}/{name}")
-    spark = next(iter(state.values())).sparkSession if state else SparkSession.active()
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string") \
+    spark = spark or (next(iter(state.values())).sparkSession if state else SparkSession.active())
+    spark.createDataFrame([(json.dumps(meta),)], "meta string") \
         .coalesce(1).write.mode("overwrite").text(f"{root}/_meta")
     return root
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lathe.operators import encode as enc
 from lathe.operators import evaluate as ev
+from lathe.operators import models as ml
+from lathe.operators import ranks
 
 
 def test_target_encoding_unseen_gets_mean_of_means(spark):
@@ -66,3 +68,58 @@ def test_champion_first_wins_ties(spark):
     c = spark.createDataFrame([("m1", 0, 0.8), ("m2", 1, 0.81), ("m3", 2, 0.81)], "model string, order int, val_accuracy double")
     r = ev.champion(c, current=0.81).first()
     assert r.winner == "m2" and r.promoted is False
+
+
+def test_promote_keeps_the_tuned_threshold_only_if_better(spark):
+    best = spark.createDataFrame([("m2", 0.81)], "winner string, val_accuracy double")
+    worse = spark.createDataFrame([(0.4, 0.81)], "best_threshold double, best_accuracy double")
+    r = ev.promote(best, worse, current=0.81).first()
+    assert (r.best_threshold, r.val_accuracy, r.promoted) == (0.5, 0.81, False)
+    better = spark.createDataFrame([(0.4, 0.82)], "best_threshold double, best_accuracy double")
+    r = ev.promote(best, better, current=0.81).first()
+    assert (r.best_threshold, r.val_accuracy, r.val_accuracy_default_threshold, r.promoted) == (0.4, 0.82, 0.81, True)
+    assert ev.promote(best, better).first().promoted is True
+
+
+def test_split_ranks_null_labels_as_a_class(spark):
+    rows = [(f"id{i:04d}", None if i % 10 == 0 else i % 2) for i in range(500)]
+    df = spark.createDataFrame(rows, "id string, y int")
+    out = ev.stratified_split(df, "y", "id", ev.id_hash("id"), test_size=0.2)
+    got = {(r.y, r.is_val): r["count"] for r in out.groupBy("y", "is_val").count().collect()}
+    assert got[(None, True)] == 10 and got[(None, False)] == 40 and sum(got.values()) == 500
+
+
+def test_mixture_of_experts_scores_every_row(spark):
+    rows = [(f"t{i}", None if i % 7 == 0 else i % 2, float(i % 5), float(i % 3), int(i % 5 > 2)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id string, gate int, a double, b double, y int")
+    for least, experts in ((20, {"gated", "rest"}), (60, {"rest"}), (1000, {"none"})):
+        out = ml.mixture_of_experts(df, df, ["a", "b"], "y", "id", "gate",
+                                    lambda: ml.LogisticRegression(maxIter=5, featuresCol=ml.FEATURES, labelCol=ml.LABEL),
+                                    min_segment=least).collect()
+        assert len(out) == 120 and {r.expert for r in out} == experts
+        assert all(r.p1 is not None and r.prediction == float(r.p1 >= 0.5) for r in out)
+
+
+def test_quantiles_of_no_values_keep_their_columns(spark):
+    df = spark.createDataFrame([("a", None)], "k string, v double")
+    assert ranks.exact_quantiles(df, ["k"], "v", [0.5]).columns == ["k", "q_index", "quantile"]
+    assert ranks.exact_quantiles(df, [], "v", [0.5]).collect() == []
+
+
+def test_saved_feature_set_transforms_alike(spark, tmp_path):
+    from lathe.plans.featuresets import FEATURE_SETS, FittedFeatureSet
+    from lathe.plans.q_featuresets import FIXTURE_BINDING
+    from lathe.sources.fixtures import ID_COL, passengers
+    from tests.conftest import SF0001
+    people = passengers(spark, SF0001)
+    ids = people.where("Age is not null and xxhash64(PassengerId) % 5 <> 0").select(ID_COL)
+    fit = FEATURE_SETS["fs_012"].fit(people, FIXTURE_BINDING, train_ids=ids)
+    again = FittedFeatureSet.load(spark, fit.save(spark, str(tmp_path / "fit")))
+    a, b = (f.transform(people.drop("Transported")).orderBy(ID_COL).collect() for f in (fit, again))
+    assert a == b and len(a) == people.count()
+    # what the held-out rows say never reaches the fit
+    held = people.join(ids, on=ID_COL, how="left_anti").select(ID_COL, F.lit(1).alias("h"))
+    turned = people.join(held, on=ID_COL, how="left") \
+        .withColumn("Transported", F.when(F.col("h").isNull(), F.col("Transported")).otherwise(~F.col("Transported"))).drop("h")
+    other = FEATURE_SETS["fs_012"].fit(turned.select(people.columns), FIXTURE_BINDING, train_ids=ids)
+    assert np.allclose(other.scaler.stats["Route_TE"], fit.scaler.stats["Route_TE"], rtol=1e-12)
