@@ -37,7 +37,7 @@ LANE = 4 << 20
 END = 1
 BLOCK = 1024
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBER = 300_000
+REMEMBER = 400_000
 
 _WORKER: dict = {}
 
