@@ -54,7 +54,9 @@ def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def stream_ranges(min_docs: int):
     """mapInArrow function over sorted ranges of (key, doc descending, pos).
 
-    Holds the rows of at most ``min_docs - 1`` documents at a time."""
+    Holds the rows of at most ``min_docs - 1`` documents at a time. Of a key that goes, the rows
+    of the range's largest document are held until the next key: at the range's end, a later
+    range may have a larger document, so they are edge rows as well."""
     def run(batches):
         key, top, docs, last, first = None, None, 0, None, True
         held: list = []
@@ -73,11 +75,12 @@ def stream_ranges(min_docs: int):
                     docs, last = docs + 1, d
                 if first:
                     out.append((k, d, t, p, EDGE, 0))
-                elif docs < min_docs:
+                elif docs < min_docs or d == top:
                     held.append((k, d, t, p))
                 else:
-                    out += [(*x, GOES, 0) for x in held if x[1] != top]
-                    held = []
+                    if held[-1][1] != top:             # top's rows come first
+                        out += [(*x, GOES, 0) for x in held if x[1] != top]
+                        held = [x for x in held if x[1] == top]
                     out.append((k, d, t, p, GOES, 0))
             if out:
                 yield _batch(out)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lathe.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, substring_dedup, toxicity, url_filter
@@ -76,6 +77,41 @@ def test_line_dedup_hot_key_over_many_ranges(spark):
     assert {r["doc_id"]: r["n_dropped"] for r in got} == {i: 0 if i == 2999 else 2 for i in range(3000)}
 
 
+def streamed(rows, min_docs=5):
+    """Rows of each key and state from one range of (key, doc descending)."""
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), line_dedup.SCHEMA.types)],
+                                       names=["key", "doc", "th", "pos"])
+    got = defaultdict(list)
+    for b in line_dedup.stream_ranges(min_docs)(iter([batch.slice(0, 5), batch.slice(5)])):
+        for k, d, _, p, state, n in zip(*(c.to_pylist() for c in b.columns)):
+            got[k, state].append((d, n) if state == line_dedup.COUNT else (d, p))
+    return got
+
+
+def test_line_dedup_key_cut_by_a_range_end():
+    rows = [(b"A", 3, 0, 0), (b"B", 9, 0, 0), *[(b"B", d, 0, 0) for d in (8, 7, 6, 5)],
+            (b"K", 90, 0, 0), (b"K", 90, 0, 2), *[(b"K", d, 0, 0) for d in (80, 70, 60, 50, 40)]]
+    got = streamed(rows)
+    assert got[b"K", line_dedup.EDGE] == [(90, 0), (90, 2)]           # a larger document may follow
+    assert got[b"K", line_dedup.GOES] == [(d, 0) for d in (80, 70, 60, 50, 40)]
+    assert got[b"K", line_dedup.COUNT] == [(90, 6)]
+    assert got[b"B", line_dedup.GOES] == [(d, 0) for d in (8, 7, 6, 5)] and not got[b"B", line_dedup.EDGE]
+
+
+@pytest.mark.parametrize("ranges", [2, 3, 5, 8, 13])
+def test_line_dedup_hot_key_that_starts_in_mid_range(spark, ranges):
+    lines = [f"line number {i} that many of the documents have in common" for i in range(12)]
+    rows = [(d, "\n".join([x for i, x in enumerate(lines) if i == 6 or d % (i + 2) == 0] + [f"own {d}"]), "s") for d in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    got = line_dedup.digest(line_dedup.line_dedup(docs)).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(map(tuple, got), key=str) == line_brute(rows)
+
+
 def quality_brute(text):
     ws = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     runs = Counter(tuple(ws[i:i + 8]) for i in range(len(ws) - 7))
