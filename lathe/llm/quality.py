@@ -71,13 +71,15 @@ def statistics(docs: DataFrame) -> DataFrame:
                        F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
                        (chars - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
                        let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
-                       F.transform(stripped, lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n"))).alias("lines"))
-    return base.select("doc_id", "host", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words",
+                       F.transform(stripped, lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n"))).alias("lines"),
+                       F.xxhash64(text).alias("th"))
+    return base.select("doc_id", "host", "th", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words",
                        "lines").withColumn("rid", F.monotonically_increasing_id())
 
 
-def quality_rules(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
-    """doc_id, the base statistics, base_failed, kept, line_chars and removed_chars for every row."""
+def judged(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """The columns of :func:`quality_rules`, host, th (hash of the text) and removed (hashes of the
+    lines that go, null: none) for every row."""
     stats = stored(statistics(docs), "quality-stats")
     lines = stats.select("rid", "host", "lines")
     once = lines.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
@@ -85,10 +87,31 @@ def quality_rules(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = M
                     .select(F.col("host").alias("c_host"), F.col("h").alias("c_h")), "quality-common")
     each = lines.select("rid", "host", F.explode("lines").alias("x")).select("rid", "host", "x.h", "x.n")
     hits = each.join(common, (F.col("h") == F.col("c_h")) & F.col("host").eqNullSafe(F.col("c_host")), "left_semi")
-    removed = stored(hits.groupBy("rid").agg(F.sum("n").alias("removed_chars")), "quality-removed")
+    removed = stored(hits.groupBy("rid").agg(
+        F.sum("n").alias("removed_chars"), F.sort_array(F.collect_set("h")).alias("removed")), "quality-removed")
     out = stats.withColumn("line_chars", F.aggregate("lines", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])) \
-        .drop("lines", "host").join(removed, "rid", "left").fillna(0, ["removed_chars"])
+        .drop("lines").join(removed, "rid", "left").fillna(0, ["removed_chars"])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     depleted = F.col("line_chars") - F.col("removed_chars") < min_left * F.col("line_chars")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "line_chars", "removed_chars")
+                      failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "line_chars", "removed_chars",
+                      "host", "th", "removed")
+
+
+def quality_rules(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """doc_id, the base statistics, base_failed, kept, line_chars and removed_chars for every row."""
+    return judged(docs, max_docs, min_left).drop("host", "th", "removed")
+
+
+def clean(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """The rows of ``docs`` that pass, without their removed lines; columns as they were."""
+    stay = judged(docs, max_docs, min_left).where("kept").select(
+        F.col("doc_id").alias("__q_id"), F.col("host").alias("__q_host"), F.col("th").alias("__q_th"),
+        F.col("removed").alias("__q_removed")).distinct()          # equal rows lose equal lines
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__q_id"))
+                     & F.col("source").cast("string").eqNullSafe(F.col("__q_host")) & (F.xxhash64(text) == F.col("__q_th")))
+    goes = lambda x: (F.btrim(x, F.lit(SPACE)) != "") & F.array_contains(
+        "__q_removed", F.xxhash64(ascii_lower(F.btrim(x, F.lit(SPACE)))))
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~goes(x)), "\n")
+    return rows.withColumn("text", F.when(F.col("__q_removed").isNull(), F.col("text")).otherwise(left)).select(*[f"`{c}`" for c in docs.columns])

@@ -133,6 +133,28 @@ def test_quality_rules(name, request):
         assert all(r["removed_chars"] == 55 for r in got if r["doc_id"] and r["doc_id"] >= 10)
 
 
+@pytest.mark.parametrize("name", ["odd", "corpus", "empty"])
+def test_quality_clean(name, request):
+    docs = request.getfixturevalue(name)
+    key = lambda x: x.strip(SPACE).translate(LOWER)
+    found = Counter((s, k) for _, t, s in rows_of(docs) for k in {key(x) for x in (t or "").split("\n")} if k)
+    want = []
+    kept = Counter(r["doc_id"] for r in quality.quality_rules(docs, max_docs=5, min_left=0.0).collect() if r["kept"])
+    for i, t, s in rows_of(docs):
+        if i in kept:
+            want.append((i, "\n".join(x for x in (t or "").split("\n") if found[s, key(x)] <= 5), s))
+    got = quality.clean(docs, max_docs=5, min_left=0.0)
+    assert got.columns == docs.columns
+    assert sorted(rows_of(got), key=str) == sorted(want, key=str)
+
+
+def test_quality_clean_removes_common_lines_only(spark):
+    own = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, f" Shared LINE\n\n{own} {i}\nshared line", "a") for i in range(7)] + [(7, f"shared line\n{own}", "b"), (7, f"shared line\n{own}", "b")]
+    got = quality.clean(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_docs=6)
+    assert sorted(rows_of(got)) == [(i, f"\n{own} {i}", "a") for i in range(7)] + [(7, f"shared line\n{own}", "b")] * 2
+
+
 @pytest.mark.parametrize("name", ["odd", "corpus", "empty"])
 def test_simhash(name, request):
     docs = request.getfixturevalue(name)
