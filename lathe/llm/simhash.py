@@ -58,14 +58,19 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row; fp is the fingerprint as a signed 64-bit number."""
+    """(doc_id, fp, th) for every row: the fingerprint as a signed 64-bit number and a hash of the text."""
     def run(batches):
         for b in pieces(batches):
             fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), b.column(2)], names=["doc_id", "fp", "th"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       text_hash().alias("th")).mapInArrow(run, "doc_id long, fp long, th long")
+
+
+def text_hash():
+    """Tells texts of one doc_id apart (a null text is empty)."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _blocks(max_bits: int) -> list[tuple[int, int]]:
@@ -263,6 +268,11 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     """doc_id, fp, class_id, class_size, component_id for every row of ``docs``.
 
     A class holds the rows of one fingerprint (class_id: its least doc_id); component_id is the least doc_id of all classes connected by links."""
+    return named_rows(docs, shingle, max_bits).select("doc_id", "fp", "class_id", "class_size", "component_id")
+
+
+def named_rows(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The columns of :func:`near_dedup`, th (hash of the text) and root, which names the component."""
     fps = stored(fingerprints(docs, shingle), "simhash-fps")
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "simhash-classes")
     roots = components(link_forest(classes.select("fp"), max_bits))
@@ -270,8 +280,8 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
         .select("fp", "class_id", "class_size", F.coalesce("root", "fp").alias("root"))
     rooted = stored(rooted, "simhash-rooted")
     least = stored(rooted.groupBy("root").agg(F.min("class_id").alias("component_id")), "simhash-components")
-    named = stored(rooted.join(least, "root").select(F.col("fp").alias("c_fp"), "class_id", "class_size", "component_id"), "simhash-named")
-    return fps.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "class_id", "class_size", "component_id")
+    named = stored(rooted.join(least, "root").select(F.col("fp").alias("c_fp"), "class_id", "class_size", "component_id", "root"), "simhash-named")
+    return fps.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "class_id", "class_size", "component_id", "th", "root")
 
 
 def hexadecimal(fp):
@@ -280,8 +290,15 @@ def hexadecimal(fp):
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document (the least doc_id) of each component, columns as they were."""
-    found = near_dedup(docs)
-    stay = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct(),
-                  "simhash-stay")
-    return docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    """``docs`` with one document (the least doc_id) of each component, columns as they were.
+
+    A doc_id may stand on several rows: what stays is one row of one text, not all rows of the id."""
+    first = named_rows(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    texts = first.groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    stay = stored(texts.groupBy("root").agg(F.min(F.struct("th", "doc_id", "n")).alias("x")).select(
+        F.col("x.doc_id").alias("__id"), F.col("x.th").alias("__th"), (F.col("x.n") > 1).alias("__copies")), "simhash-stay")
+    out = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash() == F.col("__th")))
+    # repeated rows (same doc_id and text) all match their keeper: one stays
+    alone = out.where(~F.col("__copies"))
+    again = out.where(F.col("__copies")).dropDuplicates(["__id", "__th"])
+    return alone.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -181,6 +181,16 @@ def test_simhash(name, request):
         assert r["component_id"] == least.get(root[r["fp"] % (1 << 64)])
 
 
+def test_near_copies_with_repeated_doc_ids(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in ("pear", "rock", "lamp", "fish"))
+    rows = [(1, a), (5, a), (5, b), (3, b), (7, c), (7, c), (7, c.upper()), (None, d), (None, d), (None, a), (9, None), (9, "")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    got = simhash.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted(((i, (t or "").lower()) for i, t, _ in rows_of(got)), key=str) == \
+        sorted([(1, a), (3, b), (7, c), (None, d), (9, "")], key=str)
+
+
 def test_simhash_links_of_a_dense_group(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 40, dtype=np.int64)
