@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lathe.llm import exact_dedup, language, line_dedup, mixing, packing, quality, simhash, substring_dedup, toxicity, url_filter
+from lathe.llm import alignment, conversation_repair, exact_dedup, language, line_dedup, mixing, packing, piece_codec, quality, simhash, substring_dedup, toxicity, url_filter
 from lathe.llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op4_substring_dedup, op5_line_dedup, op6_toxicity, op7_url_filter, op8_language, op9_quality_rules, op10_exact_dedup)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(talks), talks)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digest(piece_codec.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")))
+
+
+QUERIES = {f.__name__: f for f in (op1_cube_mix, op2_pack, op3_simhash, op4_substring_dedup, op5_line_dedup, op6_toxicity, op7_url_filter, op8_language, op9_quality_rules, op10_exact_dedup,
+                                  op11_conversation_repair, op12_alignment, op13_pieces)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
