@@ -132,7 +132,8 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("th"),
                        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    return rows.join(bitmaps, ["doc", "th"], "left").select(
+    # the same plan at every size: how many documents lose a line does not say how many there are
+    return rows.join(bitmaps.hint("merge"), ["doc", "th"], "left").select(
         "doc_id", "text", F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), "keep")
 
 
