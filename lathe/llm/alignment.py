@@ -26,6 +26,7 @@ import hashlib
 import os
 import re
 import string
+from array import array
 from itertools import accumulate
 
 import numpy as np
@@ -60,13 +61,14 @@ def byte_of_char() -> dict[str, int]:
     return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
-def slices(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]):
-    """(from, to) in ``a`` and in ``b`` of each group: the tokens between two ends that both sides have."""
-    at_a, at_b = {e: i for i, e in enumerate(a_ends, 1)}, {e: i for i, e in enumerate(b_ends, 1)}
+def slices(a_ends: list[int], b_ends: list[int]):
+    """(from, to) in A's and in B's tokens of each group: the tokens between two ends that both sides have."""
+    at_a, at_b = dict(zip(a_ends, range(1, len(a_ends) + 1))), dict(zip(b_ends, range(1, len(b_ends) + 1)))
     i = j = 0
     for end in sorted(at_a.keys() & at_b.keys()):
-        yield i, at_a[end], j, at_b[end]
-        i, j = at_a[end], at_b[end]
+        k, m = at_a[end], at_b[end]
+        yield i, k, j, m
+        i, j = k, m
 
 
 def linked(i: int, k: int, j: int, m: int, a_ends: list[int], b_ends: list[int]):
@@ -87,10 +89,14 @@ class Aligner:
         self.a = Tokenizer.from_file(byte_bpe)
         self.a.encode_special_tokens = True
         byte = byte_of_char()
-        self.a_bytes = {i: bytes(map(byte.get, t)) for t, i in self.a.get_vocab(with_added_tokens=False).items()
-                        if all(c in byte for c in t)}
+        names = {i: t for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        #: Bytes of each id's token; a token with a character that stands for no byte never comes out of a text.
+        self.a_size = [len(names[i]) if i in names and all(c in byte for c in names[i]) else 1 << 40 for i in range(max(names) + 1)]
         self.b = PieceEncoder(piece_bpe)
-        self.b_bytes = {i: p.replace(MARK, " ").encode() for p, i in self.b.ids.items()} | {i: bytes([int(p[3:5], 16)]) for p, i in self.b.bytes.items()}
+        self.b_size = [1] * self.b.sp.get_piece_size()
+        for p, i in self.b.ids.items():
+            self.b_size[i] = len(p.replace(MARK, " ").encode())
+        self.say = list(map(str, range(max(len(self.a_size), len(self.b_size)))))
         long = [p for p in self.b.ids if len(p) > 1]
         letters = f"A-Za-z{chr(0xc0)}-{chr(0xd6)}{chr(0xd8)}-{chr(0xf6)}{chr(0xf8)}-{chr(0xff)}"
         own_words = not any(re.search(f"[{letters}][{re.escape(string.punctuation)}]", p) for p in long)
@@ -110,17 +116,22 @@ class Aligner:
         return [full] if self.whole.search(text) else self.cuts.findall(full)
 
     def align(self, part: str, a: list[int]) -> tuple:
-        """(tokens of A, tokens of B, groups, groups as text, linked id pairs) of a part; None if the bytes differ."""
+        """(tokens of A, tokens of B, groups, groups as text, linked id pairs) of a part; None for the text if the bytes differ.
+
+        Both sides' tokens are consecutive pieces of the part's bytes, so they are all of them if they are as many."""
         b = self.b.token_ids(part.replace(" ", MARK))
-        data = part.encode()
-        if b"".join(map(self.a_bytes.get, a)) != data or b"".join(map(self.b_bytes.get, b)) != data:
+        a_ends, b_ends = list(accumulate([self.a_size[i] for i in a])), list(accumulate([self.b_size[i] for i in b]))
+        if not a or not b or not a_ends[-1] == b_ends[-1] == len(part.encode()):
             return (0, 0, 0, None, b"")
-        a_ends, b_ends = list(accumulate(len(self.a_bytes[i]) for i in a)), list(accumulate(len(self.b_bytes[i]) for i in b))
-        groups, pairs = [], []
-        for i, k, j, m in slices(a, b, a_ends, b_ends):
-            groups.append(f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}")
-            pairs += [b[y] << 32 | a[x] for x, y in linked(i, k, j, m, a_ends, b_ends)]
-        return len(a), len(b), len(groups), ";".join(groups), np.array(pairs, np.int64).tobytes()
+        say, groups, pairs = self.say, [], []
+        for i, k, j, m in slices(a_ends, b_ends):
+            if k - i == 1 == m - j:
+                groups.append(f"{say[a[i]]}|{say[b[j]]}")
+                pairs.append(b[j] << 32 | a[i])
+            else:
+                groups.append(f"{','.join([say[x] for x in a[i:k]])}|{','.join([say[x] for x in b[j:m]])}")
+                pairs += [b[y] << 32 | a[x] for x, y in linked(i, k, j, m, a_ends, b_ends)]
+        return len(a), len(b), len(groups), ";".join(groups), array("q", pairs).tobytes()
 
     def learn(self, parts: list[str]) -> list[tuple]:
         young, older = self.young, self.older
