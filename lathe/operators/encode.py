@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.functions.columns import c
-from lathe.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded_table
+from lathe.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded_table, join_small
+from lathe.operators.ranks import exclusive_prefix
 
 # sklearn-compatible "zero variance" threshold (10 * float64 machine epsilon)
 ZERO_SCALE = 10 * 2.220446049250313e-16
@@ -69,6 +70,53 @@ def target_encode_fit(df: DataFrame, column: str, target: str) -> TargetEncoding
     return fit_target_encoding(category_stats(df, [column], target), column)
 
 
+def _category(column: str) -> Column:
+    """The category as a key; null is one of its own."""
+    return F.coalesce(F.concat(F.lit("="), c(column).cast("string")), F.lit("null"))
+
+
+def target_encode_out_of_fold(df: DataFrame, column: str, target: str, fold: str, out: str | None = None,
+                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """H1 without leakage: each row gets its category's target mean over the rows of all other folds.
+
+    One aggregate by (category, fold); a row is encoded by the category's sums less its own fold's. A null
+    category, and one that only the row's own fold has, gets the other folds' overall mean. Rows with a null
+    target count nowhere and are encoded all the same."""
+    y = c(target).cast("double")
+    cells = (df.select(_category(column).alias("__k"), c(fold).cast("int").alias("__f"), y.alias("__y")).where(F.col("__y").isNotNull())
+             .groupBy("__k", "__f").agg(F.sum("__y").alias("s"), F.count("*").alias("n")))
+    folds = {r["__f"]: (r["s"], r["n"]) for r in cells.groupBy("__f").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}   # a row per fold
+    all_s, all_n = (sum(x[i] for x in folds.values()) for i in (0, 1))
+    own = [(F.col("__f").eqNullSafe(F.lit(f)), s, n) for f, (s, n) in folds.items()]
+    rest = [F.lit(float(all_s)), F.lit(float(all_n))]
+    for is_own, s, n in own:
+        rest = [F.when(is_own, all_s - s).otherwise(rest[0]), F.when(is_own, float(all_n - n)).otherwise(rest[1])]
+    fallback = F.try_divide(rest[0], rest[1])
+    totals = cells.where(F.col("__k") != "null").groupBy("__k").agg(
+        F.sum("s").alias("__s"), F.sum("n").alias("__n"), F.map_from_entries(F.collect_list(F.struct(F.coalesce("__f", F.lit(-1)), F.struct("s", "n")))).alias("__by"))
+    rows = df.withColumns({"__k": _category(column), "__f": c(fold).cast("int")})
+    mine = F.try_element_at("__by", F.coalesce("__f", F.lit(-1)))
+    s, n = F.col("__s") - F.coalesce(mine["s"], F.lit(0.0)), F.col("__n") - F.coalesce(mine["n"], F.lit(0))
+    joined = join_small(rows, totals, on="__k", how="left", max_rows=max_broadcast_rows)
+    return joined.withColumn(out or f"{column}_TE", F.when(n > 0, s / n).otherwise(fallback)).drop("__k", "__f", "__s", "__n", "__by")
+
+
+def ordered_target_statistics(df: DataFrame, column: str, target: str, order: Column, id_col: str, out: str | None = None,
+                              prior: float = 0.5, weight: float = 1.0) -> DataFrame:
+    """Category statistics from earlier rows only: (sum of earlier targets + weight * prior) / (earlier rows + weight).
+
+    "Earlier" is by ``order`` (a hash of the id stands for a random permutation), then id, among rows of the same
+    category; so no row's own target, nor a later one, reaches its statistic. Prefix sums are range-partitioned
+    (``ranks.exclusive_prefix``): a category of any size is spread over its ranges. Null is a category; a null
+    target counts as absent."""
+    y = c(target).cast("double")
+    rows = df.withColumns({"__k": _category(column), "__ord": order.cast("double"), "__y": F.coalesce(y, F.lit(0.0)),
+                           "__one": F.when(y.isNotNull(), 1).otherwise(0)})
+    ranked = exclusive_prefix(rows, ["__k"], "__ord", ["__y", "__one"], suffix="_earlier", tiebreak=[id_col])
+    value = (F.col("__y_earlier") + weight * prior) / (F.col("__one_earlier") + weight)
+    return ranked.withColumn(out or f"{column}_OTS", value).drop("__k", "__ord", "__y", "__one", "__y_earlier", "__one_earlier")
+
+
 # ------------------------------------------------------------------ H3 one-hot
 def one_hot_fit(stats: DataFrame, columns: list[str], max_values: int = 1000) -> dict[str, list[str]]:
     """Sorted distinct values per column, size-checked (one small collect)."""

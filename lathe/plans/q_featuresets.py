@@ -16,8 +16,10 @@ from lathe.functions.columns import rnd
 from pyspark.sql import types as T
 
 from lathe.operators import encode as enc
+from lathe.operators.evaluate import stratified_kfold
 from lathe.plans.base import register, with_passengers
 from lathe.plans.featuresets import FEATURE_SETS, Binding, FeatureSet, FittedFeatureSet
+from lathe.plans.q_eval import HASH_SQL, split_hash
 from lathe.plans.q_rows import FIXTURE_DECK_TO_PLANET
 from lathe.plans.sqlfrag import (AGECAT, CABNUM, CRYO_ENC, CRYO_INT, DECK, FIXTURE_DECK_PLANET, GROUP, LAST,
                                  SIDE, SIDE_ENC, SPEND, any_pos_sql, base_cte, cats_sql, total_sql)
@@ -273,6 +275,33 @@ def q_te_apply(spark, sf):
     return te.apply(df, "Deck_TE").select(ID_COL, rnd("Deck_TE", 6).alias("Deck_TE"))
 
 
+_FOLD_SQL = (base_cte() + f",\nfo AS (SELECT PassengerId, Deck, CAST(Transported AS INTEGER) AS y, (row_number() OVER (PARTITION BY Transported "
+             f"ORDER BY {HASH_SQL}, PassengerId) - 1) % 5 AS fold, {HASH_SQL} AS h FROM b)")
+
+
+@register("target_encode_oof", with_passengers(
+    "SELECT PassengerId, fold, round(coalesce((sum(y) OVER (PARTITION BY Deck) - sum(y) OVER (PARTITION BY Deck, fold)) / "
+    "nullif(CAST(count(*) OVER (PARTITION BY Deck) - count(*) OVER (PARTITION BY Deck, fold) AS DOUBLE), 0), "
+    "(sum(y) OVER () - sum(y) OVER (PARTITION BY fold)) / CAST(count(*) OVER () - count(*) OVER (PARTITION BY fold) AS DOUBLE)), 6) AS Deck_TE "
+    "FROM fo", _FOLD_SQL))
+def q_te_oof(spark, sf):
+    """H1 out of fold (Q1): each row's deck encoded from the other four folds' rows."""
+    from lathe.plans.q_rows import base
+    df = base(spark, sf).select(ID_COL, "Deck", TARGET)
+    folded = stratified_kfold(df, TARGET, ID_COL, split_hash(), k=5)
+    return enc.target_encode_out_of_fold(folded, "Deck", TARGET, "fold").select(ID_COL, F.col("fold").cast("long").alias("fold"), rnd("Deck_TE", 6).alias("Deck_TE"))
+
+
+@register("ordered_target_stats", with_passengers(
+    "SELECT PassengerId, round((coalesce(sum(y) OVER w, 0) + 0.5) / (count(*) OVER w + 1.0), 6) AS Deck_OTS FROM fo "
+    f"WINDOW w AS (PARTITION BY Deck ORDER BY h, PassengerId ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", _FOLD_SQL))
+def q_ordered_target_stats(spark, sf):
+    """Ordered target statistics of the deck along the permutation that the id hash gives."""
+    from lathe.plans.q_rows import base
+    df = base(spark, sf).select(ID_COL, "Deck", TARGET)
+    return enc.ordered_target_statistics(df, "Deck", TARGET, split_hash(), ID_COL).select(ID_COL, rnd("Deck_OTS", 6).alias("Deck_OTS"))
+
+
 @register("one_hot", with_passengers(
     "SELECT PassengerId, " + ", ".join(f"CAST(coalesce(HomePlanet = '{v}', false) AS INTEGER) AS \"HomePlanet_{v}\""
                                        for v in PLANETS[:-1]) + " FROM passengers"))
