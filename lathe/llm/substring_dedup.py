@@ -9,17 +9,21 @@ make a fragment. Equal windows have equal minimizers at equal places, so
 fragments are only compared with fragments of the same minimizer, aligned at it.
 
 On such a group the column-wise construction runs as it does on documents: from
-the last column to the first, one symbol of every fragment is inserted a round,
-the order of all suffixes being updated by a stable sort of that column's
-symbols (the column of the Burrows-Wheeler transform); neighbours with a common
-prefix of ``LENGTH`` bytes are equal windows. Rounds are as many as columns, 80
-for 50 bytes. Between the steps the fragments and their order are written tables,
+the last column to the first, one symbol of every fragment is inserted a round.
+The state is the order of all suffixes with the common prefix of each and the one
+above it. A round takes that column's symbols in this order (the column of the
+Burrows-Wheeler transform), sorts them stably, which is the new order, and the
+new common prefix of two neighbours with one symbol is one more than the least of
+the old ones between their old places. Neighbours with a common prefix of
+``LENGTH`` bytes begin with equal windows. Rounds are as many as columns, 84 for
+50 bytes. Between the steps the fragments and their order are written tables,
 read in sequence.
 
 Before that, minimizers that only one document has are dropped, and equal
 fragments become one with the least doc_id that has them. A minimizer with more
-than ``GROUP`` different fragments goes by its windows instead (an aggregate by
-window string), so no task holds an unbounded group.
+than ``GROUP`` different fragments is cut: its windows, each a fragment of its
+own, are dealt by their hash and go through the same rounds, so no task holds an
+unbounded group.
 
 Defined results: a null text is empty; a null doc_id is below every other; rows
 of one doc_id are never smaller than each other, so repeated rows stay; texts
@@ -42,13 +46,13 @@ from lathe.llm.language import MIX
 from lathe.llm.line_dedup import NO_ID
 
 LENGTH = 50
-K = 20
+K = 16
 #: k-byte strings of a window.
 SPAN = LENGTH - K + 1
 COLUMNS = 2 * (SPAN - 1) + K
-#: Windows that are looked at together; fragments of a minimizer that go column by column; fragments of a chunk.
+#: Windows that are looked at together; fragments of a minimizer that stay together; fragments of a chunk.
 PIECE = 1 << 22
-GROUP = 1 << 17
+GROUP = 1 << 12
 CHUNK = 1 << 18
 
 
@@ -67,7 +71,7 @@ def _strings(code: np.ndarray) -> np.ndarray:
     two = join(one, 1, one, 1)
     four = join(two, 2, two, 2)
     eight = join(four, 4, four, 4)
-    return _mixed(join(join(eight, 8, eight, 8), 16, four, 4))
+    return _mixed(join(eight, 8, eight, 8))
 
 
 def fragments(data: bytes):
@@ -197,25 +201,40 @@ def column_rounds(s: list[bytes], at: np.ndarray, n: np.ndarray, least: np.ndarr
     m[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size) + left[row]] = flat
     by_column = np.ascontiguousarray(m.T)
     mask = np.zeros(count, np.int64)
-    order = np.arange(count)
+    order, prefix = np.arange(count), np.zeros(count, np.int32)
     for c in range(COLUMNS - 1, -1, -1):
-        order = order[np.argsort(by_column[c][order], kind="stable")]
-        if c > SPAN - 1:
+        symbol = by_column[c][order]                       # the column of the transform
+        to = np.argsort(symbol, kind="stable")
+        order, prefix = order[to], extended(prefix, symbol, to)
+        if c > SPAN - 1 or not (prefix == LENGTH).any():
             continue
-        live = order[(left[order] <= c) & (c < left[order] + n[order])]
-        if len(live) < 2:
-            continue
-        window = m[live, c:c + LENGTH]
-        same = (window[1:] == window[:-1]).all(axis=1)     # common prefix with the neighbour above
-        if not same.any():
-            continue
-        start = np.flatnonzero(np.r_[True, ~same])
-        low = np.repeat(np.minimum.reduceat(least[live], start), np.diff(np.r_[start, len(live)]))
-        hit = live[low < least[live]]
+        live = (left[order] <= c) & (c < left[order] + n[order])
+        start = np.flatnonzero(prefix < LENGTH)            # a run of equal windows begins
+        mine = np.where(live, least[order], np.iinfo(np.int64).max)
+        low = np.repeat(np.minimum.reduceat(mine, start), np.diff(np.r_[start, count]))
+        hit = order[live & (low < mine)]
         mask[hit] |= np.int64(1) << (c - left[hit])
     return mask
 
 
+def extended(prefix: np.ndarray, symbol: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Common prefixes (up to ``LENGTH``) of neighbours after ``symbol`` was put before the suffixes and ``to`` sorted them.
+
+    Range minima of the old ones, by doubling."""
+    out = np.zeros(len(to), np.int32)
+    at = np.flatnonzero(np.diff(symbol[to]) == 0) + 1       # neighbours that begin with one symbol
+    low, high = to[at - 1] + 1, to[at]
+    level = np.frexp((high - low + 1).astype(float))[1].astype(np.int8) - 1
+    least = prefix
+    for k in range(int(level.max(initial=-1)) + 1):
+        if k:
+            least = np.minimum(least[:len(least) - (1 << k - 1)], least[1 << k - 1:])         # of 2^k from each place on
+        mine = np.flatnonzero(level == k)
+        out[at[mine]] = np.minimum(least[low[mine]], least[high[mine] - (1 << k) + 1])
+    out[at] = np.minimum(out[at] + 1, LENGTH)
+    return out
+
+
 def window_masks(distinct: DataFrame) -> DataFrame:
     """(sid, mask) for the fragments (h, s, sid, at, n, least) that share windows with a smaller document's."""
     large = stored(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > GROUP).select("h"), "sub-large")
@@ -230,8 +249,9 @@ def window_masks(distinct: DataFrame) -> DataFrame:
                                  t.column("least").to_numpy())
             hit = mask != 0
             if hit.any():
-                sid = t.column("sid").filter(pa.array(hit)).combine_chunks()
-                yield from pa.Table.from_arrays([sid, pa.array(mask[hit])], names=["sid", "mask"]).to_batches()
+                some = t.filter(pa.array(hit))
+                whole = mask[hit] << some.column("shift").to_numpy().astype(np.int64)
+                yield from pa.Table.from_arrays([some.column("sid").combine_chunks(), pa.array(whole)], names=["sid", "mask"]).to_batches()
 
         for b in batches:
             t = pa.Table.from_batches([b])
@@ -245,16 +265,14 @@ def window_masks(distinct: DataFrame) -> DataFrame:
         if rest is not None:
             yield from solve(rest)
 
-    if large.isEmpty():
-        return distinct.repartition("h").sortWithinPartitions("h").mapInArrow(rounds, "sid binary, mask long")
-    small = distinct.join(large, "h", "left_anti")
-    masks = small.repartition("h").sortWithinPartitions("h").mapInArrow(rounds, "sid binary, mask long")
-    windows = distinct.join(large, "h", "left_semi").select(
-        "sid", "least", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"), "s") \
-        .select("sid", "least", "i", F.expr(f"substring(s, i + 1, {LENGTH})").alias("w"))
-    low = stored(windows.groupBy("w").agg(F.min("least").alias("low")), "sub-windows")
-    more = windows.join(low, "w").where("low < least").groupBy("sid").agg(F.expr("bit_or(shiftleft(1L, i))").alias("mask"))
-    return masks.unionByName(more)
+    # large minimizers are few (each has over GROUP fragments); the join marks them without a second pass over the others
+    marked = distinct.join(large.withColumn("cut", F.lit(True)), "h", "left")
+    window = F.expr(f"substring(s, shift + 1, {LENGTH})")
+    cut = marked.where("cut").withColumn("shift", F.explode(F.sequence(F.lit(0), F.col("n") - 1))) \
+        .select(F.xxhash64(window).alias("h"), "sid", window.alias("s"), (F.col("at") - F.col("shift")).alias("at"), F.lit(1).alias("n"), "least", "shift")
+    whole = marked.where("cut IS NULL").select("h", "sid", "s", "at", "n", "least", F.lit(0).alias("shift"))
+    dealt = whole.unionByName(cut).repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(rounds, "sid binary, mask long").groupBy("sid").agg(F.bit_or("mask").alias("mask"))
 
 
 def _release(df: DataFrame) -> None:

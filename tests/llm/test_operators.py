@@ -239,7 +239,24 @@ def test_substring_dedup(name, request):
     assert sorted(map(tuple, got.collect()), key=str) == substring_brute(rows_of(docs))
 
 
-def test_substring_dedup_large_groups_go_by_windows(spark, corpus):
+def test_substring_rounds_keep_order_and_common_prefixes():
+    r = np.random.default_rng(4)
+    for n, width, letters in ((1, 5, 2), (60, 70, 2), (200, 64, 3), (90, 60, 1)):
+        columns = r.integers(0, letters, (width, n)).astype(np.uint8)
+        order, prefix = np.arange(n), np.zeros(n, np.int32)
+        for c in range(width - 1, -1, -1):
+            symbol = columns[c][order]
+            to = np.argsort(symbol, kind="stable")
+            order, prefix = order[to], substring_dedup.extended(prefix, symbol, to)
+            suffixes = [columns[c:, i].tobytes() for i in order]
+            assert suffixes == sorted(suffixes)
+            for i in range(1, n):
+                same = next((k for k, (x, y) in enumerate(zip(suffixes[i - 1], suffixes[i])) if x != y), width - c)
+                assert prefix[i] == min(same, substring_dedup.LENGTH)
+            assert prefix[0] == 0
+
+
+def test_substring_dedup_cuts_large_groups(spark, corpus):
     old, substring_dedup.GROUP = substring_dedup.GROUP, 1
     try:
         got = substring_dedup.digest(substring_dedup.substring_dedup(corpus)).collect()
