@@ -35,36 +35,16 @@ def global_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[s
     return {x: (got[(x,)][0] if (x,) in got else None) for x in cols}
 
 
-HOT_GROUP_ROWS = 1_000_000
-
-
-def group_medians(df: DataFrame, key: str, cols: list[str], exact: bool = True,
-                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Per-group medians ``(key, __gm_<col>...)`` that stay bounded for hot groups.
-
-    Groups with at most ``hot_rows`` rows use ``median`` (its buffer holds the
-    distinct values of one group). Larger groups - at most rows / hot_rows of
-    them, size-checked - use the distributed ``ranks.exact_quantiles``, so no
-    task merges all distinct values of a hot group.
-    """
+def group_medians(df: DataFrame, key: str, cols: list[str], exact: bool = True) -> DataFrame:
+    """Per-group medians ``(key, __gm_<col>...)``: all groups and columns at once by ``ranks.exact_quantiles``,
+    so a hot group is spread like any other part; groups without a value have no row."""
     names = {x: f"__gm_{x}" for x in cols}
     if not exact:
         return df.groupBy(key).agg(*[median_expr(c(x), False).alias(n) for x, n in names.items()])
-    from lathe.operators.lookup import bounded_table
     from lathe.operators.profile import stack
     from lathe.operators.ranks import exact_quantiles
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__gm_n"))
-    hot = bounded_table(sizes.where(F.col("__gm_n") > hot_rows).select(key), 100_000)
-    if hot is None:
-        raise ValueError("group_medians: too many hot groups; use exact=False")
-    small = df if hot.isEmpty() else df.join(F.broadcast(hot), on=key, how="left_anti")
-    out = small.groupBy(key).agg(*[F.median(c(x)).alias(n) for x, n in names.items()])
-    if hot.isEmpty():
-        return out
-    big = stack(df.join(F.broadcast(hot), on=key, how="left_semi"), cols, keep=[key], cast="double")
-    q = (exact_quantiles(big, [key, "variable"], "value", [0.5])
-         .groupBy(key).pivot("variable", cols).agg(F.first("quantile")))
-    return out.unionByName(q.select(key, *[F.col(x).alias(n) for x, n in names.items()]))
+    q = exact_quantiles(stack(df, cols, keep=[key], cast="double"), [key, "variable"], "value", [0.5])
+    return q.groupBy(key).agg(*[F.max(F.when(F.col("variable") == x, F.col("quantile"))).alias(n) for x, n in names.items()])
 
 
 # ------------------------------------------------------------------ E1/E2

@@ -14,10 +14,11 @@ On top of it: Mann-Whitney U with tie correction (G9) and ROC-AUC (J6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathe.operators.lookup import join_small
+from lathe.session import cut_lineage
 
 
 ROWS_PER_BUCKET = 2_000_000
@@ -125,66 +126,97 @@ def roc_auc(df: DataFrame, score: str, label: str, part: list[str] | None = None
     return mw.select(*(part or []), (F.col("U") / (F.col("n1") * F.col("n0"))).alias("roc_auc"), "n1", "n0")
 
 
-# Largest number of distinct values per part merged in one task by Spark's exact percentile.
-MERGE_DISTINCT_LIMIT = 200_000
+# ------------------------------------------------------------------ radix selection
+#: Bits of a slice, and the slices of a double from the top.
+SLICE = 16
+SHIFTS = (48, 32, 16, 0)
+
+
+def ordered_bits(x: Column) -> Column:
+    """A double's bit pattern as a long of the same order (negative numbers mirrored; both zeros are 0), from exact arithmetic."""
+    a = F.abs(x)
+    guess = F.floor(F.log2(a)).cast("int")                           # can be one off beside a power of two
+    near = a / F.pow(F.lit(2.0), guess)
+    e = guess + F.when(near >= 2, 1).when(near < 1, -1).otherwise(0)
+    mantissa = ((a / F.pow(F.lit(2.0), e) - 1) * float(1 << 52)).cast("long")
+    bits = F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 << 52)) \
+        .when(a < 2.0 ** -1022, (a * 2.0 ** 537 * 2.0 ** 537).cast("long")) \
+        .otherwise((e + 1023).cast("long") * F.lit(1 << 52) + mantissa)
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+#: Distinct values that are ranked together.
+TOGETHER = 1 << SLICE
 
 
 def exact_quantiles(long: DataFrame, part: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Exact quantiles (linear interpolation between order statistics, as pandas / numpy).
+    """Exact quantiles (linear interpolation between order statistics, as pandas / numpy), any number of parts.
 
-    ``long`` holds one observation per row. Distinct values are counted
-    (partial aggregation), ranked with ``exclusive_prefix``, and each needed
-    rank position (two per probability) is matched to the value whose count
-    range covers it through a broadcast of the few positions joined on the
-    part key. No task ever holds all distinct values of a part.
+    ``long`` holds one observation per row; null and NaN are no observations, a null part is a part. Distinct
+    values are counted once (partial aggregation) and ranked by running sums, up to ``TOGETHER`` of them side by
+    side. Parts with more are opened from the top of the values' ordered bit patterns, 16 bits a pass: the slice
+    that covers a wanted rank is found by running sums over the slices (at most 65,536) and opens the next pass,
+    so a part of any size is spread over its slices. Nothing is collected but whether such parts exist.
     Returns ``(*part, q_index, quantile)``.
     """
     part = list(part)
-    key = part if part else ["__q_all"]
-    src = long if part else long.withColumn("__q_all", F.lit(0))
-    present = src.where(F.col(value).isNotNull())
-    # cheap bound check (HyperLogLog partial aggregates, no shuffle of values)
-    est = present.groupBy(*key).agg(F.approx_count_distinct(value, 0.05).alias("__q_d")).limit(100_001).collect()
-    if len(est) > 100_000:
-        raise ValueError("exact_quantiles: more than 100000 parts; use percentile_approx")
-    if not est:
-        empty = src.select(*key).limit(0).withColumns({"q_index": F.lit(0), "quantile": F.lit(0.0)})
-        return empty.drop("__q_all") if not part else empty
-    if max(int(r["__q_d"]) for r in est) * 1.25 <= MERGE_DISTINCT_LIMIT:
-        # every part has a bounded number of distinct values: Spark's exact percentile merges at most
-        # that many (value, count) entries in one task, so one more pass finishes the job
-        agg = present.groupBy(*key).agg(F.percentile(F.col(value).cast("double"), list(probs)).alias("__q_arr"))
-        res = agg.select(*key, F.posexplode("__q_arr").alias("q_index", "quantile")) \
-            .withColumn("q_index", F.col("q_index").cast("int"))
-        return res.drop("__q_all") if not part else res
-    cells = (present.groupBy(*key, F.col(value).cast("double").alias("__q_v"))
-             .agg(F.count(F.lit(1)).alias("__q_c")))
-    sizes = cells.groupBy(*key).agg(F.sum("__q_c").alias("__q_n"))
-    size_rows = sizes.collect()            # one row per part, bounded above
-    wanted = []
-    for r in size_rows:
-        n = int(r["__q_n"])
-        for qi, p in enumerate(probs):
-            pos = (n - 1) * p
-            lo = int(pos // 1)
-            hi = min(lo + 1, n - 1)
-            wanted.append((*[r[k] for k in key], qi, lo, hi, float(pos - lo)))
-    schema = sizes.select(*key).schema
-    from pyspark.sql import types as T
-    wschema = T.StructType([*schema.fields, T.StructField("q_index", T.IntegerType()),
-                            T.StructField("__q_lo", T.LongType()), T.StructField("__q_hi", T.LongType()),
-                            T.StructField("__q_f", T.DoubleType())])
-    need = long.sparkSession.createDataFrame(wanted, wschema)    # #parts x #probs rows, bounded above
-    pref = exclusive_prefix(cells, key, "__q_v", ["__q_c"], suffix="_before")
-    covers = lambda k: (F.col("__q_c_before") <= F.col(k)) & (F.col(k) < F.col("__q_c_before") + F.col("__q_c"))
-    hits = pref.join(F.broadcast(need), on=key).where(covers("__q_lo") | covers("__q_hi"))
-    out = hits.groupBy(*key, "q_index").agg(
-        F.max(F.when(covers("__q_lo"), F.col("__q_v"))).alias("__q_a"),
-        F.max(F.when(covers("__q_hi"), F.col("__q_v"))).alias("__q_b"),
-        F.first("__q_f").alias("__q_f"))
-    res = out.select(*key, "q_index",
-                     (F.col("__q_a") + (F.col("__q_b") - F.col("__q_a")) * F.col("__q_f")).alias("quantile"))
-    return res.drop("__q_all") if not part else res
+    x = F.col(value).cast("double")
+    rows = long.select((F.struct(*part) if part else F.struct(F.lit(0).alias("all"))).alias("__q_k"), x.alias("__q_v")) \
+        .where(F.col("__q_v").isNotNull() & ~F.isnan("__q_v"))
+    # several passes read the counts; what they come from runs once
+    cells = cut_lineage(rows.groupBy("__q_k", "__q_v").agg(F.count(F.lit(1)).alias("__q_c")))
+    large = cells.groupBy("__q_k").agg(F.count(F.lit(1)).alias("__q_d"), F.sum("__q_c").alias("__q_n")).where(F.col("__q_d") > TOGETHER)
+    if large.isEmpty():
+        found = _ranked(cells, probs)
+    else:
+        small = cells.join(large.select("__q_k"), "__q_k", "left_anti")
+        found = _ranked(small, probs).unionByName(_opened(cells, large.select("__q_k", "__q_n"), probs))
+    out = found.groupBy("__q_k", "q_index").agg(F.max("__q_a").alias("__q_a"), F.max("__q_b").alias("__q_b"), F.first("__q_f").alias("__q_f"))
+    between = F.col("__q_a") + (F.col("__q_b") - F.col("__q_a")) * F.col("__q_f")
+    return out.select(*[F.col("__q_k")[p].alias(p) for p in part], F.col("q_index").cast("int").alias("q_index"),
+                      F.when(F.col("__q_a") == F.col("__q_b"), F.col("__q_a")).otherwise(between).alias("quantile"))
+
+
+def _positions(probs: list[float]) -> tuple[Column, Column, Column, Column]:
+    """Probabilities to explode, and of each the lower and upper rank wanted of ``__q_n`` and the share of the upper."""
+    at = (F.col("__q_n") - 1) * F.col("__q_p")
+    low = F.floor(at).cast("long")
+    return F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("q_index", "__q_p"), low, F.least(low + 1, F.col("__q_n") - 1), at - low
+
+
+def _ranked(cells: DataFrame, probs: list[float]) -> DataFrame:
+    """(__q_k, q_index, __q_a, __q_b, __q_f): the values at the wanted ranks, by running sums over each part's values."""
+    each, low, high, share = _positions(probs)
+    whole = Window.partitionBy("__q_k")
+    run = cells.select("*", F.sum("__q_c").over(whole.orderBy("__q_v").rowsBetween(Window.unboundedPreceding, 0)).alias("__q_to"),
+                       F.sum("__q_c").over(whole.orderBy("__q_v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__q_n"))
+    covers = lambda r: (F.col("__q_to") - F.col("__q_c") <= r) & (r < F.col("__q_to"))
+    rows = run.select("__q_k", "__q_v", "__q_c", "__q_to", "__q_n", each).where(covers(low) | covers(high))
+    return rows.select("__q_k", "q_index", F.when(covers(low), F.col("__q_v")).alias("__q_a"), F.when(covers(high), F.col("__q_v")).alias("__q_b"),
+                       share.alias("__q_f"))
+
+
+def _opened(cells: DataFrame, large: DataFrame, probs: list[float]) -> DataFrame:
+    """The same for large parts, by radix selection."""
+    each, low, high, share = _positions(probs)
+    cells = cells.withColumn("__q_bits", ordered_bits(F.col("__q_v")))
+    sides = F.explode(F.array(F.struct(F.lit(0).alias("__q_s"), low.alias("__q_r")), F.struct(F.lit(1).alias("__q_s"), high.alias("__q_r"))))
+    wanted = (large.select("__q_k", "__q_n", each).select("__q_k", "q_index", share.alias("__q_f"), sides.alias("__q_t"), F.lit(0).cast("long").alias("__q_x"))
+              .select("__q_k", "q_index", "__q_f", "__q_t.__q_s", "__q_t.__q_r", "__q_x"))
+    for shift in SHIFTS:
+        before = F.shiftright("__q_bits", shift + SLICE) if shift < SHIFTS[0] else F.lit(0).cast("long")
+        open_ = wanted.select("__q_k", "__q_x").distinct()
+        slices = (cells.withColumn("__q_x", before).join(open_, ["__q_k", "__q_x"], "left_semi")
+                  .groupBy("__q_k", "__q_x", F.shiftright("__q_bits", shift).alias("__q_y"))
+                  .agg(F.sum("__q_c").alias("__q_m"), F.max("__q_v").alias("__q_v")))
+        run = Window.partitionBy("__q_k", "__q_x").orderBy("__q_y")
+        slices = slices.withColumn("__q_to", F.sum("__q_m").over(run))
+        hit = (F.col("__q_to") - F.col("__q_m") <= F.col("__q_r")) & (F.col("__q_r") < F.col("__q_to"))
+        wanted = wanted.join(slices, ["__q_k", "__q_x"]).where(hit).select(
+            "__q_k", "q_index", "__q_f", "__q_s", (F.col("__q_r") - F.col("__q_to") + F.col("__q_m")).alias("__q_r"),
+            F.col("__q_y").alias("__q_x"), *(["__q_v"] if shift == 0 else []))          # the last slice leaves one value
+    return wanted.select("__q_k", "q_index", F.when(F.col("__q_s") == 0, F.col("__q_v")).alias("__q_a"),
+                         F.when(F.col("__q_s") == 1, F.col("__q_v")).alias("__q_b"), "__q_f")
 
 
 def quantile_values(long: DataFrame, part: list[str], value: str, probs: list[float]) -> dict:

@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -110,14 +112,35 @@ def test_bucket_index_binary_search(spark):
     assert got == [sum(1 for b in bounds if b <= v) for v in vals]
 
 
-def test_exact_quantiles_distributed_path(spark, monkeypatch):
+@pytest.mark.parametrize("together", [1 << 16, 3])
+def test_exact_quantiles_of_any_parts(spark, monkeypatch, together):
     import numpy as np
     from lathe.operators import ranks
-    monkeypatch.setattr(ranks, "MERGE_DISTINCT_LIMIT", 3)
+    monkeypatch.setattr(ranks, "TOGETHER", together)
     rnd = random.Random(21)
-    rows = [(rnd.choice("ab"), float(rnd.randint(0, 30))) for _ in range(500)]
+    tiny = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.0 ** -1022, 1.0, -1.0, 0.1, 3.0, 1024.0, 1023.9999999999999, 1.7976931348623157e308, -2.5]
+    rows = [(rnd.choice(["a", None]), float(rnd.randint(0, 30))) for _ in range(500)]
+    rows += [("near", rnd.choice(tiny)) for _ in range(200)] + [("real", rnd.gauss(0, 1e3)) for _ in range(300)]
+    rows += [("one", 7.5), ("none", None), ("none", float("nan")), ("a", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = ranks.quantile_values(df, ["g"], "v", [0.25, 0.5, 0.9])
-    for g in "ab":
-        xs = [v for gg, v in rows if gg == g]
-        assert np.allclose(got[(g,)], np.quantile(xs, [0.25, 0.5, 0.9]))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = ranks.quantile_values(df, ["g"], "v", probs)
+    assert set(got) == {("a",), (None,), ("near",), ("real",), ("one",)}
+    for (g,), q in got.items():
+        xs = [v for gg, v in rows if gg == g and v is not None and v == v]
+        assert np.allclose(q, np.quantile(xs, probs), rtol=1e-12, atol=0), g
+    all_ = [v for g, v in rows if g in ("a", None) and v == v]
+    assert np.allclose(ranks.quantile_values(df.where("g IS NULL OR g = 'a'"), [], "v", probs)[()], np.quantile(all_, probs))
+    assert ranks.quantile_values(df.where("false"), ["g"], "v", probs) == {} == ranks.quantile_values(df.where("false"), [], "v", probs)
+
+
+def test_ordered_bits_are_the_bits(spark):
+    import struct
+    from pyspark.sql import functions as F
+    from lathe.operators.ranks import ordered_bits
+    rnd = random.Random(2)
+    xs = [struct.unpack("<d", rnd.getrandbits(64).to_bytes(8, "little"))[0] for _ in range(3000)]
+    xs = [x for x in xs if x == x] + [2.0 ** k * s * f for k in range(-1074, 1023, 7) for s in (1, -1) for f in (1, 0.9999999999999999)] + [float("inf"), -float("inf")]
+    for x, b in spark.createDataFrame([(x,) for x in xs], "x double").select("x", ordered_bits(F.col("x"))).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        assert b == (-bits if x < 0 else bits), x
