@@ -28,11 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back; ``options`` of the Parquet writer."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd"} | options).parquet(path)
     _SCRATCH.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path

@@ -52,7 +52,7 @@ SPAN = LENGTH - K + 1
 COLUMNS = 2 * (SPAN - 1) + K
 #: Windows that are looked at together; fragments of a minimizer that stay together; fragments of a chunk.
 PIECE = 1 << 22
-GROUP = 1 << 12
+GROUP = 1 << 13
 CHUNK = 1 << 18
 
 
@@ -122,7 +122,9 @@ def shared_minimizers(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(th), pa.array(kind)],
                                              names=["h", "th", "kind"])
 
-    seen = stored(rows.mapInArrow(look, "h long, th long, kind int"), "sub-seen")
+    # hashes: neither a codec nor a dictionary makes them shorter
+    plain = {"compression": "snappy", "parquet.enable.dictionary": "false"}
+    seen = stored(rows.mapInArrow(look, "h long, th long, kind int"), "sub-seen", **plain)
     # kind 0: alone in its batch; 2: first of several in its batch; 1: further ones, known to be shared
 
     def match(batches):
@@ -296,6 +298,7 @@ def covered_windows(docs: DataFrame) -> DataFrame:
     distinct = stored(found.groupBy("sid", "s", "h", "n", "at").agg(F.min("doc").alias("least")), "sub-distinct")
     _release(docs)
     masks = stored(window_masks(distinct), "sub-masks")
+    _release(docs)
     known = stored(distinct.select("sid", "least").join(masks, "sid", "left"), "sub-known")
     discard(distinct, masks)
     _release(docs)
