@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lathe.functions.columns import c, is_true, row_all_zero, row_any_positive, total, rnd
 from lathe.functions.stats import bias_corrected_kurtosis, bias_corrected_skew
-from lathe.operators.lookup import bounded_table, join_small
+from lathe.operators.lookup import bounded_table, join_back, join_small
 from lathe.operators.ranks import exact_quantiles, mann_whitney, quantile_values
 
 
@@ -338,7 +338,7 @@ def imputation_opportunities(df: DataFrame, spend_cols: list[str], key: str = "T
     grp = df.groupBy(key).agg(F.max(c(planet).isNotNull().cast("int")).alias("__hp"),
                               F.max(c(cabin).isNotNull().cast("int")).alias("__cb"),
                               F.max(c(age).isNotNull().cast("int")).alias("__ag"))
-    j = df.join(grp, on=key, how="left")
+    j = join_back(df, grp, [key])
     deck = F.split_part(c(cabin), F.lit("/"), F.lit(1))
     hp_null = c(planet).isNull()
     hp_group = hp_null & (F.col("__hp") == 1)

@@ -23,7 +23,7 @@ from lathe.operators import encode as enc
 from lathe.operators import groups as grp
 from lathe.operators import impute as imp
 from lathe.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded_table
-from lathe.session import cut_lineage, materialize_if_large
+from lathe.session import cut_lineage
 from lathe.sources.io import load_fit_state, save_fit_state
 
 
@@ -144,7 +144,7 @@ def pipeline_fs013(df, b, impute_age=False, age_median=None):
     df = df.withColumn("Age", F.coalesce(F.col("Age"), F.col("__gmed")))
     df = _age_cat(df).withColumns({
         "SpendShare": F.col("__raw") / (F.col("__gsum") + F.lit(1.0)),
-        "GroupSpendOthers_Log": F.log1p(F.col("__gsum") - F.col("__raw")),
+        "GroupSpendOthers_Log": F.log1p(F.greatest(F.col("__gsum") - F.col("__raw"), F.lit(0.0))),
     }).drop("__raw", "__gsum", "__gmed")
     return _group_size(_missing(df, b, impute_age, age_median), b)
 
@@ -205,30 +205,28 @@ class FeatureSet:
     deprecated: bool = False
 
     def rows(self, df: DataFrame, b: Binding, train: bool = True, age_median: float | None = None) -> DataFrame:
-        return self.pipeline(df, b, not train, age_median)
+        return self.pipeline(col.nan_to_null(df), b, not train, age_median)
 
-    def fit(self, df: DataFrame, b: Binding = Binding(), checkpoint: bool | None = None,
-            train_ids: DataFrame | None = None) -> "FittedFeatureSet":
+    def fit(self, df: DataFrame, b: Binding = Binding(), train_ids: DataFrame | None = None) -> "FittedFeatureSet":
         """Fit encoders and scaler on the train-mode rows.
 
         Row features see all of ``df``; with ``train_ids`` (one id column) encoders, scaler and the
         age median learn from those rows only, so held-out labels never reach a feature.
 
-        The rows feed several passes (category statistics, age median, scaler);
-        ``checkpoint=None`` materialises them into ``spark.checkpoint.dir`` when
-        the scanned input is estimated above 1 GiB, ``True``/``False`` force the choice.
+        The rows feed several passes (category statistics, age median, scaler): the row
+        pipeline runs once and its rows are written to ``spark.checkpoint.dir``. The category
+        statistics of all columns are one aggregate, kept locally if small, else written too.
         """
         rows = _label_encode(self.rows(df, b, train=True))
         if train_ids is not None:
             rows = rows.join(train_ids.select(b.id_col), on=b.id_col, how="left_semi")
-        if checkpoint is None:
-            rows = materialize_if_large(rows, size_of=df)
-        elif checkpoint:
-            rows = cut_lineage(rows)
+        rows = cut_lineage(rows)
         stat_cols = list(dict.fromkeys([*self.target_encode, *self.categorical]))
         stats = enc.category_stats(rows, stat_cols, b.target) if stat_cols else None
-        if stats is not None and checkpoint:
+        if stats is not None:
             stats = cut_lineage(stats)
+            small = bounded_table(stats, DEFAULT_BROADCAST_ROWS)
+            stats = stats if small is None else small
         tes = {x: enc.fit_target_encoding(stats, x) for x in self.target_encode}
         ohe = enc.one_hot_fit(stats, list(self.categorical)) if self.categorical else {}
         age_median = imp.global_medians(rows, ["Age"])["Age"] if "Age" in rows.columns else None

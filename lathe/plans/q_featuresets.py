@@ -333,7 +333,33 @@ def q_feature_pipeline(spark, sf):
     return round_doubles(fitted(spark, sf, "fs_004").transform(passengers(spark, sf), train=True))
 
 
-@register("feature_pipeline_apply")
+def apply_sql(fs: FeatureSet, known: str) -> str:
+    """Oracle of a fit on the rows ``known`` (with an age) and of its test mode on every row (production row pipeline)."""
+    def rows(t: str, src: str, age: str, where: str) -> str:
+        return (f"{t}1 AS (SELECT * REPLACE ({FILLS}{age}) FROM {src} {where}),\n"
+                f"{t}2 AS (SELECT *, count(*) OVER ({G}) AS GroupSize, CAST(coalesce(Age < 13, false) AS INTEGER) AS IsChild FROM {t}1),\n"
+                f"{t}3 AS (SELECT *, max(IsChild) OVER ({G}) AS GroupHasChild, avg(IsChild) OVER ({G}) AS GroupChildRate, "
+                f"HomePlanet || '_' || Destination AS Route, {CRYO_ENC} AS CryoSleep_Encoded, {SIDE_ENC.format(s='Side')} AS Side_Encoded FROM {t}2)")
+    ctes = base_cte() + ",\n" + rows("k", "b", "", f"WHERE Age IS NOT NULL AND {known}") + ",\nmed AS (SELECT median(Age) AS m FROM k1),\n" \
+        + rows("e", "b", ", coalesce(Age, (SELECT m FROM med)) AS Age", "")
+    for i, x in enumerate(fs.target_encode):
+        ctes += f",\nte{i} AS (SELECT {x} AS v, avg(CAST(Transported AS DOUBLE)) AS m FROM k3 GROUP BY 1)"
+    for t in "ke":
+        cols = ", ".join(f"coalesce(te{i}.m, (SELECT avg(m) FROM te{i})) AS {x}_TE" for i, x in enumerate(fs.target_encode))
+        joins = " ".join(f"LEFT JOIN te{i} ON {t}3.{x} = te{i}.v" for i, x in enumerate(fs.target_encode))
+        ctes += f",\n{t}4 AS (SELECT {t}3.*, {cols} FROM {t}3 {joins})"
+    ctes += ",\nsc AS (SELECT " + ", ".join(f"avg(CAST({x} AS DOUBLE)) AS m{i}, stddev_pop(CAST({x} AS DOUBLE)) AS s{i}"
+                                            for i, x in enumerate(fs.numeric)) + " FROM k4)"
+    values = {"Destination": [x for x in DESTINATIONS if x != "5-LOW"], "AgeCategory": AGE_CATS}
+    ohe = ", ".join(f"CAST({x} = '{v}' AS INTEGER) AS \"{x}_{v}\"" for x in fs.categorical for v in values[x])
+    scaled = ", ".join(f"round((CAST({x} AS DOUBLE) - m{i}) / CASE WHEN s{i} IS NULL OR s{i} < {enc.ZERO_SCALE!r} THEN 1 ELSE s{i} END, 6) AS {x}"
+                       for i, x in enumerate(fs.numeric))
+    drop = [x for x in dict.fromkeys([*fs.drop, "CryoSleep", "Side", *fs.target_encode, *fs.categorical]) if x != ID_COL]
+    drop += [f"{p}{i}" for i in range(len(fs.numeric)) for p in "ms"]
+    return with_passengers(f"SELECT * EXCLUDE ({', '.join(drop)}) REPLACE (CAST(Transported AS INTEGER) AS Transported, {scaled}), {ohe} FROM e4, sc", ctes)
+
+
+@register("feature_pipeline_apply", apply_sql(FEATURE_SETS["fs_012"], "Destination IS DISTINCT FROM '5-LOW'"))
 def q_feature_pipeline_apply(spark, sf):
     """H6: fit on rows with a known age, apply in test mode to every row (ages imputed
     with the fitted median, unseen categories -> TE mean of means / all-zero one-hot)."""

@@ -68,23 +68,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/lathe-io/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (optimized logical plan statistics)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimates are advisory
-        return 0
-
-
-def materialize_if_large(df: DataFrame, size_of: DataFrame | None = None, threshold_bytes: int = 1 << 30) -> DataFrame:
-    """Checkpoint ``df`` into the shared folder when it is large.
-
-    Used where one table feeds several passes (fit statistics): above the
-    threshold, one write + several scans beat re-running the upstream joins
-    and shuffles for every pass; below it, the plan stays lazy. ``size_of``
-    names the table whose estimate decides (e.g. the scanned input: Catalyst's
-    estimate of a join result is only an upper bound and can be absurd).
-    """
-    return cut_lineage(df) if estimated_bytes(size_of if size_of is not None else df) > threshold_bytes else df

@@ -57,7 +57,7 @@ def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     scans it with column pruning and filter pushdown.
     """
     from lathe.session import scratch_path
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _ENTITY_PATHS.get(key)
     if path is None:
         path = scratch_path(spark, "passengers")

@@ -11,6 +11,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lathe.functions.columns import nan_to_null
+
 # Raw entity schema (reference input table, 14 columns).
 ENTITY_SCHEMA = T.StructType([
     T.StructField("PassengerId", T.StringType(), False),
@@ -37,7 +39,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scan_entities(spark: SparkSession, path: str, fmt: str = "parquet",
                   schema: T.StructType | None = ENTITY_SCHEMA, with_target: bool = True) -> DataFrame:
-    """A1: read the raw entity table; CSV uses a declared schema and '' -> null."""
+    """A1: read the raw entity table; CSV uses a declared schema and '' -> null; NaN -> null (T5)."""
     if fmt == "csv":
         sch = schema
         if sch is not None and not with_target:
@@ -46,7 +48,7 @@ def scan_entities(spark: SparkSession, path: str, fmt: str = "parquet",
         df = reader.schema(sch).csv(path) if sch is not None else reader.option("inferSchema", True).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
-    return df
+    return nan_to_null(df)
 
 
 def write_features(df: DataFrame, root: str, feature_set: str, kind: str) -> str:

@@ -46,3 +46,37 @@ def final_plan(df):
 ])
 def test_a_hot_group_is_split(hot, operator):
     assert "skew=true" in final_plan(operator(hot))
+
+
+SETS = ["fs_001", "fs_005", "fs_007", "fs_013"]
+
+
+@pytest.mark.parametrize("name", SETS)
+def test_a_hot_travel_group_is_split_in_whole_row_pipelines(spark, hot, name):
+    """A third of the rows in one travel group: the production settings split its rows in the feature sets' row pipelines."""
+    from lathe.plans.featuresets import FEATURE_SETS
+    from lathe.plans.q_featuresets import FIXTURE_BINDING
+    n = F.col("id")
+    pid = F.concat(F.when(n % 3 == 0, "0001").otherwise(F.lpad((n % 30_000 + 2).cast("string"), 5, "0")), F.lit("_"), n.cast("string"))
+    people = spark.range(150_000).select(
+        pid.alias("PassengerId"), F.when(n % 7 > 0, "EUROPE").alias("HomePlanet"), (n % 2 == 0).alias("CryoSleep"),
+        F.concat(F.when(n % 2 == 0, "A").otherwise("B"), F.lit("/"), (n % 900).cast("string"), F.lit("/P")).alias("Cabin"),
+        F.lit("5-LOW").alias("Destination"), F.when(n % 5 > 0, (n % 80).cast("double")).alias("Age"), F.lit(False).alias("VIP"),
+        *[F.when(n % (k + 3) > 0, (n % 1000).cast("double")).alias(x) for k, x in enumerate(FIXTURE_BINDING.spend)],
+        F.concat(F.lit("N "), (n % 5000).cast("string")).alias("Name"), (n % 2 == 1).alias("Transported")).repartition(16)
+    rows = FEATURE_SETS[name].rows(people, FIXTURE_BINDING, train=True)
+    assert "skew=true" in final_plan(rows.agg(*[F.count(f"`{x}`") for x in rows.columns]))
+
+
+def test_nan_is_null_for_every_statistic(spark):
+    from lathe.plans.featuresets import FEATURE_SETS
+    from lathe.plans.q_featuresets import FIXTURE_BINDING
+    b, nan = FIXTURE_BINDING, float("nan")
+    cols = ["PassengerId", "HomePlanet", "CryoSleep", "Cabin", "Destination", "Age", "VIP", *b.spend, "Name", "Transported"]
+    kinds = "PassengerId string, HomePlanet string, CryoSleep boolean, Cabin string, Destination string, Age double, VIP boolean, " \
+        + ", ".join(f"{x} double" for x in b.spend) + ", Name string, Transported boolean"
+    made = [[(f"000{i}_{i}", "EUROPE", False, "A/1/P", "5-LOW", float(20 + i) if i else gap, False, gap, 2.0, 3.0, gap, 1.0, "A B", i % 2 == 0)
+             for i in range(6)] for gap in (nan, None)]
+    fs = FEATURE_SETS["fs_006"]
+    with_nan, with_null = (sorted(map(str, fs.rows(spark.createDataFrame(rows, kinds).select(*cols), b, train=True).collect())) for rows in made)
+    assert with_nan == with_null and len(with_nan) == 5 and "nan" not in "".join(with_nan).lower()
