@@ -5,8 +5,8 @@ Channel: writers hide words by look-alike symbols (1d10t), by repeating letters
 character lattices: an input character stands for one of its look-alikes, for
 nothing (a separator, or a repeat), or for itself, each at a cost. Viterbi finds
 the best path under a character trigram model of the corpus; all documents teach
-it (counts only), the table's size is fixed. The words found are read in place of the
-spans.
+it (counts only), the table's size is fixed. Spans of any length are decoded whole, and
+the words found are read beside them.
 
 Score: documents are seen as sets of hashed byte n-grams inside words. Labelled
 rows give each n-gram's log-odds of a toxic document; those with strong and
@@ -41,11 +41,13 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "aeiou", "%": "aeiou", "€": "e", "£": "l",
 }
 SEPARATORS = " .-_*~'\"`,/"
+#: Symbols that may also just open a word.
+OPENING = "(<"
 SWAP, DROP, REPEAT = 1.0, 0.3, 0.7
 #: Words with a symbol or digit inside letters; with a letter three times running; single characters spaced out.
 ODD = re.compile(
-    r"(?<!\S)(?=\S*[a-z])(?=\S*(?:[0-9@$!|+(<*#%€£]\S*[a-z]|[a-z]([a-z])\1\1|([a-z])\2\2))[a-z0-9@$!|+(<*#%€£]{3,40}(?!\w)"
-    r"|(?<!\S)[a-z0-9@$!*](?:[ .\-_*~]{1,2}[a-z0-9@$!*]){3,24}(?!\w)", re.I)
+    r"(?<!\S)(?=\S*[a-z])(?=\S*(?:[0-9@$!|+(<*#%€£]\S*[a-z]|[a-z]([a-z])\1\1|([a-z])\2\2))[a-z0-9@$!|+(<*#%€£]{3,}(?!\w)"
+    r"|(?<!\S)[a-z0-9@$!*](?:[ .\-_*~]{1,2}[a-z0-9@$!*]){3,}(?!\w)", re.I)
 
 STARTS = (3, 4, 5, 6, 7, 8, 9)
 INNER = (5, 6)
@@ -91,8 +93,8 @@ def learn_letters(docs: DataFrame) -> np.ndarray:
 
 
 def decode(span: str, cost: list) -> str:
-    """The most likely word behind an odd span (Viterbi over (two letters before) states)."""
-    beams = {(0, 0): (0.0, "")}
+    """The most likely word behind an odd span (Viterbi over (two letters before) states; a path is a chain of letters)."""
+    beams: dict = {(0, 0): (0.0, None)}
     last = ""
     for ch in span.lower():
         new: dict = {}
@@ -102,28 +104,41 @@ def decode(span: str, cost: list) -> str:
         for x in LOOKALIKES.get(ch, ""):
             options.append((x, SWAP))
         separator = ch in SEPARATORS
-        for (a, b), (c, word) in beams.items():
+        for (a, b), (c, path) in beams.items():
             for x, extra in options:
                 k = ord(x) - 96
                 total = c + extra + cost[a][b][k]
                 key = (b, k)
                 if key not in new or total < new[key][0]:
-                    new[key] = (total, word + x)
-            silent = DROP if separator else REPEAT if ch == last or (word and ch == word[-1]) else None
+                    new[key] = (total, (path, x))
+            opening = path is None and ch in OPENING
+            silent = DROP if separator or opening else REPEAT if ch == last or (path and ch == path[1]) else None
             if silent is not None and ((a, b) not in new or c + silent < new[a, b][0]):
-                new[a, b] = (c + silent, word)
+                new[a, b] = (c + silent, path)
         if new:
             beams = new
         last = ch
-    return min((c + cost[a][b][0], word) for (a, b), (c, word) in beams.items())[1]
+    path = min(((c + cost[a][b][0], path) for (a, b), (c, path) in beams.items()), key=lambda t: t[0])[1]
+    out = []
+    while path:
+        path, x = path
+        out.append(x)
+    return "".join(reversed(out))
+
+
+#: Longest span remembered.
+SHORT = 64
 
 
 class Restorer:
-    """Restores odd spans of texts; remembers words it has seen (a bounded memory)."""
+    """Restores odd spans of texts; remembers short spans it has seen (a bounded memory)."""
 
     def __init__(self, cost: np.ndarray):
         self.cost = cost.tolist()
-        self.word = lru_cache(1 << 15)(lambda span: decode(span, self.cost))
+        self.known = lru_cache(1 << 15)(lambda span: decode(span, self.cost))
+
+    def word(self, span: str) -> str:
+        return self.known(span) if len(span) <= SHORT else decode(span, self.cost)
 
     def __call__(self, text: str) -> str:
         return ODD.sub(lambda m: f"{m[0]} {self.word(m[0])} ", text)

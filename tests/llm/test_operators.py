@@ -419,3 +419,14 @@ def test_pipeline_stages(spark, odd, empty):
             assert docs.columns == columns
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_toxicity_decodes_long_spans_whole(corpus):
+    restore = toxicity.Restorer(toxicity.learn_letters(corpus))
+    spaced = " ".join("idiotstupidmoron" * 3)
+    assert restore(f"so {spaced} he said").split(spaced)[1].split()[0] == toxicity.decode(spaced, restore.cost)
+    assert toxicity.decode(spaced, restore.cost) == "idiotstupidmoron" * 3
+    mixed = "1d10t" * 12
+    assert len(mixed) > 40 and toxicity.decode(mixed, restore.cost) in restore(f"an {mixed} here").split()
+    assert "stupid" in restore("he is (stup1d) really").split()
+    assert len(toxicity.decode("a1" * 20_000, restore.cost)) > 10_000
