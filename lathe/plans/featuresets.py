@@ -280,6 +280,19 @@ class FittedFeatureSet:
         out = col.align_schema(matrix, self.feature_cols, keep=keep)
         return self.scaler.apply(out) if scaled else out
 
+    def state(self, spark: SparkSession) -> DataFrame:
+        """The fitted state as one table (kind, name, item, value): scaler means and scales, target encodings and the value
+        of unseen categories, one-hot categories, the age median, the number of features."""
+        rows = [("scaler", x, k, v) for x, (mean, scale) in self.scaler.stats.items() for k, v in (("mean", mean), ("scale", scale))]
+        rows += [("unseen", x, "", te.default) for x, te in self.target_encoders.items()]
+        rows += [("one_hot", x, v, 1.0) for x, values in self.one_hot.items() for v in values]
+        rows += [("median", "Age", "", self.age_median), ("features", "all", "", float(len(self.feature_cols)))]
+        out = spark.createDataFrame(rows, "kind string, name string, item string, value double")
+        for x, te in self.target_encoders.items():
+            out = out.unionByName(te.table.select(F.lit("target_encoding").alias("kind"), F.lit(x).alias("name"),
+                                                  F.col("value").alias("item"), F.col("mean").alias("value")))
+        return out
+
     def save(self, spark: SparkSession, root: str) -> str:
         """Write the fitted state: one table per target encoder and one metadata row."""
         meta = {"feature_set": self.fs.name, "binding": asdict(self.binding), "one_hot": self.one_hot,

@@ -211,7 +211,8 @@ ROW_SQL = {"fs_001": _fs001_sql, "fs_003": _fs003_sql, "fs_004": _fs001_sql, "fs
 
 
 # ======================================================================= SQL: encoders
-def encode_sql(fs: FeatureSet) -> str:
+def _fitted_ctes(fs: FeatureSet) -> str:
+    """The row pipeline (``le``), its target encodings (``te0``, ...), the encoded matrix (``x``) and its scaler (``sc``)."""
     ctes, rows = ROW_SQL[fs.name]()
     ctes += (f",\nle AS (SELECT *, {CRYO_ENC} AS CryoSleep_Encoded, {SIDE_ENC.format(s='Side')} AS Side_Encoded "
              f"FROM {rows})")
@@ -234,9 +235,28 @@ def encode_sql(fs: FeatureSet) -> str:
     nums = list(fs.numeric)
     ctes += (",\nsc AS (SELECT " + ", ".join(f"avg(CAST({x} AS DOUBLE)) AS m{i}, stddev_pop(CAST({x} AS DOUBLE)) AS s{i}"
                                           for i, x in enumerate(nums)) + " FROM x)")
-    rep = ", ".join(f"round((CAST({x} AS DOUBLE) - m{i}) / CASE WHEN s{i} IS NULL OR s{i} < {enc.ZERO_SCALE!r} THEN 1 "
-                    f"ELSE s{i} END, 6) AS {x}" for i, x in enumerate(nums))
-    return with_passengers(f"SELECT x.* REPLACE ({rep}) FROM x, sc", ctes)
+    return ctes
+
+
+def _scale_sql(i: int) -> str:
+    return f"CASE WHEN s{i} IS NULL OR s{i} < {enc.ZERO_SCALE!r} THEN 1 ELSE s{i} END"
+
+
+def encode_sql(fs: FeatureSet) -> str:
+    rep = ", ".join(f"round((CAST({x} AS DOUBLE) - m{i}) / {_scale_sql(i)}, 6) AS {x}" for i, x in enumerate(fs.numeric))
+    return with_passengers(f"SELECT x.* REPLACE ({rep}) FROM x, sc", _fitted_ctes(fs))
+
+
+def state_sql(fs: FeatureSet) -> str:
+    """Oracle of :meth:`FittedFeatureSet.state`."""
+    parts = [f"SELECT 'scaler' AS kind, '{x}' AS name, '{item}' AS item, round({value}, 6) AS value FROM sc"
+             for i, x in enumerate(fs.numeric) for item, value in (("mean", f"m{i}"), ("scale", _scale_sql(i)))]
+    for i, x in enumerate(fs.target_encode):
+        parts += [f"SELECT 'target_encoding', '{x}', v, round(m, 6) FROM te{i}", f"SELECT 'unseen', '{x}', '', round(avg(m), 6) FROM te{i}"]
+    parts += [f"SELECT DISTINCT 'one_hot', '{x}', CAST({x} AS VARCHAR), 1.0 FROM le" for x in fs.categorical]
+    parts += ["SELECT 'median', 'Age', '', round(median(Age), 6) FROM le",
+              f"SELECT 'features', 'all', '', CAST(count(*) AS DOUBLE) FROM (UNPIVOT (SELECT * EXCLUDE ({ID_COL}, {TARGET}) FROM x LIMIT 1) ON COLUMNS(*))"]
+    return with_passengers("\nUNION ALL ".join(parts), _fitted_ctes(fs))
 
 
 def _make(name: str):
@@ -359,6 +379,12 @@ def apply_sql(fs: FeatureSet, known: str) -> str:
     return with_passengers(f"SELECT * EXCLUDE ({', '.join(drop)}) REPLACE (CAST(Transported AS INTEGER) AS Transported, {scaled}), {ohe} FROM e4, sc", ctes)
 
 
+@register("feature_pipeline_state", state_sql(FEATURE_SETS["fs_004"]))
+def q_feature_pipeline_state(spark, sf):
+    """H5: what the fit of the default TE feature set keeps: encodings, categories, scaler, median, number of features."""
+    return fitted(spark, sf, "fs_004").state(spark).select("kind", "name", "item", rnd("value", 6).alias("value"))
+
+
 @register("feature_pipeline_apply", apply_sql(FEATURE_SETS["fs_012"], "Destination IS DISTINCT FROM '5-LOW'"))
 def q_feature_pipeline_apply(spark, sf):
     """H6: fit on rows with a known age, apply in test mode to every row (ages imputed
