@@ -15,7 +15,7 @@ above it. A round takes that column's symbols in this order (the column of the
 Burrows-Wheeler transform), sorts them stably, which is the new order, and the
 new common prefix of two neighbours with one symbol is one more than the least of
 the old ones between their old places. Neighbours with a common prefix of
-``LENGTH`` bytes begin with equal windows. Rounds are as many as columns, 84 for
+``LENGTH`` bytes begin with equal windows. Rounds are as many as columns, 80 for
 50 bytes. Between the steps the fragments and their order are written tables,
 read in sequence.
 
@@ -46,13 +46,13 @@ from lathe.llm.language import MIX
 from lathe.llm.line_dedup import NO_ID
 
 LENGTH = 50
-K = 16
+K = 20
 #: k-byte strings of a window.
 SPAN = LENGTH - K + 1
 COLUMNS = 2 * (SPAN - 1) + K
 #: Windows that are looked at together; fragments of a minimizer that stay together; fragments of a chunk.
 PIECE = 1 << 22
-GROUP = 1 << 13
+GROUP = 1 << 14
 CHUNK = 1 << 18
 
 
@@ -71,7 +71,7 @@ def _strings(code: np.ndarray) -> np.ndarray:
     two = join(one, 1, one, 1)
     four = join(two, 2, two, 2)
     eight = join(four, 4, four, 4)
-    return _mixed(join(eight, 8, eight, 8))
+    return _mixed(join(join(eight, 8, eight, 8), 16, four, 4))
 
 
 def fragments(data: bytes):
