@@ -33,7 +33,7 @@ def test_score_stream_micro_batches(spark):
     df.drop("Transported").write.parquet(src)
     fitted = FEATURE_SETS["fs_012"].fit(df, FIXTURE_BINDING)
     m = ml.assemble(fitted.transform(df, train=True), fitted.feature_cols, "Transported", "PassengerId")
-    model = ml.catalogue()["LogisticRegression"]().fit(m.df)
+    model = ml.catalogue()["LogisticRegression"].estimator(m.df.count()).fit(m.df)
     out = scratch_path(spark, "stream-out")
     stream = spark.readStream.schema(df.drop("Transported").schema).parquet(src)
     q = score_stream(stream, fitted, model, out, scratch_path(spark, "stream-ckpt2"), threshold=0.4106)
