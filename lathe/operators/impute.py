@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lathe.functions.columns import UNKNOWN, c, is_true, positive_count
 from lathe.operators.groups import group_stats
 from lathe.operators.lookup import join_back, mapping_expr
+from lathe.session import cut_lineage
 
 
 def median_expr(x: Column, exact: bool = True, accuracy: int = 10_000) -> Column:
@@ -23,28 +24,100 @@ def median_expr(x: Column, exact: bool = True, accuracy: int = 10_000) -> Column
 def global_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str, float | None]:
     """Fit step: one median per column (a few numbers reach the driver).
 
-    Exact medians use the distributed ``ranks.exact_quantiles`` (no task holds
-    all distinct values); ``exact=False`` uses one ``percentile_approx`` pass.
+    Exact medians are bracketed by a sketch, then found among the distinct values inside
+    the bracket (a share of 2 * ``BESIDE`` of the rows, and the sketch's error); a median that the
+    bracket misses, or with too many values inside, goes through the distributed
+    ``ranks.exact_quantiles``. ``exact=False`` uses one ``percentile_approx`` pass.
     """
     if not exact:
         row = df.agg(*[median_expr(c(x), False).alias(x) for x in cols]).first()
         return {x: (None if row[x] is None else float(row[x])) for x in cols}
     from lathe.operators.profile import stack
     from lathe.operators.ranks import quantile_values
-    got = quantile_values(stack(df, cols, cast="double"), ["variable"], "value", [0.5])
-    return {x: (got[(x,)][0] if (x,) in got else None) for x in cols}
-
-
-def group_medians(df: DataFrame, key: str, cols: list[str], exact: bool = True) -> DataFrame:
-    """Per-group medians ``(key, __gm_<col>...)``: all groups and columns at once by ``ranks.exact_quantiles``,
-    so a hot group is spread like any other part; groups without a value have no row."""
+    long = stack(df, cols, cast="double").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    sides = F.percentile_approx("value", [0.5 - BESIDE, 0.5 + BESIDE], 10_000)
+    edges = {r["variable"]: r["q"] for r in long.groupBy("variable").agg(sides.alias("q")).collect()}     # a row per column
+    out: dict[str, float | None] = dict.fromkeys(cols)
+    if not edges:
+        return out
+    low, high = (mapping_expr("variable", {x: q[i] for x, q in edges.items()}) for i in (0, 1))
+    place = F.when(F.col("value") < low, -1).when(F.col("value") > high, 1).otherwise(0)
+    counts = long.groupBy("variable", place.alias("place"), F.when(place == 0, F.col("value")).alias("value")).agg(F.count("*").alias("n"))
+    cells = counts.limit(BRACKET_VALUES * len(cols) + 1).collect()
+    found = {} if len(cells) > BRACKET_VALUES * len(cols) else {x: _bracketed([r for r in cells if r["variable"] == x]) for x in edges}
+    missed = [x for x in edges if found.get(x) is None]
+    if missed:
+        got = quantile_values(stack(df, missed, cast="double"), ["variable"], "value", [0.5])
+        found |= {x: got[(x,)][0] for x in missed}
+    return out | found
+
+
+#: Half the share of rows between the sketched quantiles beside a median, and the distinct values inside that are collected per column.
+BESIDE = 2e-4
+BRACKET_VALUES = 1 << 16
+
+
+def _bracketed(cells: list) -> float | None:
+    """The median from (place below / inside / above, value, n); None if it isn't inside."""
+    n, before = sum(r["n"] for r in cells), sum(r["n"] for r in cells if r["place"] < 0)
+    inside = sorted((r["value"], r["n"]) for r in cells if r["place"] == 0)
+    picked = []
+    for rank in ((n - 1) // 2, n // 2):
+        run = before
+        for value, times in inside:
+            if run <= rank < run + times:
+                picked.append(value)
+            run += times
+    a, b = picked if len(picked) == 2 else (None, None)
+    return None if a is None else a + (b - a) * 0.5
+
+
+def group_medians(df: DataFrame, key: str, cols: list[str], exact: bool = True, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Per-group medians ``(key, __gm_<col>...)`` and the aggregates ``extra``, a row per group; without ``extra``,
+    groups that have no value have no row.
+
+    A group's values are sorted where they meet in one aggregate. Groups of more than ``HOT_ROWS`` rows, if there are
+    any, go through ``ranks.exact_quantiles`` instead, so they are spread like any other part."""
     names = {x: f"__gm_{x}" for x in cols}
+    extra = extra or {}
+    more = [e.alias(n) for n, e in extra.items()]
     if not exact:
-        return df.groupBy(key).agg(*[median_expr(c(x), False).alias(n) for x, n in names.items()])
+        return df.groupBy(key).agg(*[median_expr(c(x), False).alias(n) for x, n in names.items()], *more)
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > HOT_ROWS).select(F.col(key).alias("__hot"))
+    if hot.isEmpty():
+        return _sorted_medians(df, key, names, more)
     from lathe.operators.profile import stack
     from lathe.operators.ranks import exact_quantiles
-    q = exact_quantiles(stack(df, cols, keep=[key], cast="double"), [key, "variable"], "value", [0.5])
-    return q.groupBy(key).agg(*[F.max(F.when(F.col("variable") == x, F.col("quantile"))).alias(n) for x, n in names.items()])
+    hot = cut_lineage(hot)
+    same = c(key).eqNullSafe(F.col("__hot"))
+    large = df.join(hot, same, "left_semi")
+    q = exact_quantiles(stack(large, cols, keep=[key], cast="double"), [key, "variable"], "value", [0.5])
+    # with extra statistics, groups without a value have a row as well
+    q = large.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *more).join(
+        q.select(F.col(key).alias("__hot"), "variable", "quantile"), same, "left" if extra else "inner")
+    medians = q.groupBy(key).agg(*[F.max(F.when(F.col("variable") == x, F.col("quantile"))).alias(n) for x, n in names.items()],
+                                 *[F.first(n).alias(n) for n in extra])
+    return _sorted_medians(df.join(hot, same, "left_anti"), key, names, more).unionByName(medians)
+
+
+#: Rows of a group whose values one task sorts.
+HOT_ROWS = 1 << 16
+
+
+def _sorted_medians(df: DataFrame, key: str, names: dict[str, str], more: list[Column]) -> DataFrame:
+    values = F.struct(*[c(x).cast("double").alias(n) for x, n in names.items()])
+    lists = df.groupBy(key).agg(F.collect_list(values).alias("__gl"), *more)
+
+    def median(n: str) -> Column:
+        known = F.sort_array(F.filter(F.col("__gl")[n], lambda v: v.isNotNull() & ~F.isnan(v)))
+
+        def middle(v: Column) -> Column:
+            at = F.size(v) - 1
+            a, b = v[F.floor(at / 2).cast("int")], v[F.ceil(at / 2).cast("int")]
+            return F.when(F.size(v) > 0, a + (b - a) * 0.5)
+        return F.transform(F.array(known), middle)[0]
+    out = lists.withColumns({n: median(n) for n in names.values()}).drop("__gl")
+    return out if more else out.dropna("all", subset=list(names.values()))
 
 
 # ------------------------------------------------------------------ E1/E2
@@ -96,10 +169,12 @@ def impute_group_median(df: DataFrame, col: str = "Age", key: str = "TravelGroup
 
 # ------------------------------------------------------------------ E4
 def impute_spend_group_aware(df: DataFrame, cols: list[str], key: str = "TravelGroup",
-                             cryo: str = "CryoSleep", exact: bool = True) -> DataFrame:
-    """Null & cryo -> 0; null & not cryo -> group median -> global median -> 0."""
+                             cryo: str = "CryoSleep", exact: bool = True, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Null & cryo -> 0; null & not cryo -> group median -> global median -> 0.
+
+    ``extra`` group statistics ride on the medians' aggregate."""
     gmed = global_medians(df, cols, exact)
-    tmp = join_back(df, group_medians(df, key, cols, exact), [key])
+    tmp = join_back(df, group_medians(df, key, cols, exact, extra), [key])
     cryo_true = is_true(cryo)
     upd = {}
     for x in cols:
@@ -149,11 +224,11 @@ def apply_domain_rules(df: DataFrame, spend_cols: list[str], key: str = "TravelG
                        order: str = "PassengerId", planet: str = "HomePlanet", deck: str = "Deck",
                        side: str = "Side", cryo: str = "CryoSleep", age: str = "Age",
                        deck_to_planet: dict | None = None, child_age: float = 12,
-                       unknown: str = UNKNOWN) -> DataFrame:
+                       unknown: str = UNKNOWN, extra: dict[str, Column] | None = None) -> DataFrame:
     """Six ordered rules, one group aggregate for the three group rules.
 
     1 planet <- first known planet of the group; 2 planet <- deck lookup (on the
-    deck *before* rule 3); 3 deck, side <- first known of the group; 4 cryo ->
+    deck *before* rule 3); ``extra`` group statistics ride on that aggregate; 3 deck, side <- first known of the group; 4 cryo ->
     null spend = 0; 5 spend > 0 & cryo null -> False; 6 age <= limit -> null spend = 0.
     """
     m = deck_to_planet if deck_to_planet is not None else DECK_TO_PLANET
@@ -164,7 +239,7 @@ def apply_domain_rules(df: DataFrame, spend_cols: list[str], key: str = "TravelG
         "__dr_deck": first_known(deck, is_true(known_deck), order),
         "__dr_side": first_known(side, is_true(known_side), order),
     }
-    tmp = group_stats(df, key, aggs)
+    tmp = group_stats(df, key, {**aggs, **(extra or {})})
     planet_new = F.coalesce(c(planet), F.col("__dr_planet"), mapping_expr(deck, m))
     deck_new = F.when(c(deck) == unknown, F.coalesce(F.col("__dr_deck"), F.lit(unknown))).otherwise(c(deck))
     side_new = F.when(c(side) == unknown, F.coalesce(F.col("__dr_side"), F.lit(unknown))).otherwise(c(side))

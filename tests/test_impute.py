@@ -1,5 +1,8 @@
 """E* imputation and ordered domain rules."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from lathe.operators import impute as imp
 
 SPEND = ["s1", "s2"]
@@ -61,3 +64,41 @@ def test_group_medians_of_a_hot_group(spark, monkeypatch):
     got = {r.TravelGroup: r["__gm_s1"] for r in imp.group_medians(df, "TravelGroup", ["s1"]).collect()}
     assert set(got) == {g for g, v in rows if v is not None}
     assert all(abs(got[g] - median(v for k, v in rows if k == g)) < 1e-9 for g in got)
+
+
+def test_global_medians_without_ranking_all_values(spark, monkeypatch):
+    """Odd and even counts, ties, gaps and one value only come out of the sketch's bracket; a missed bracket is ranked."""
+    import numpy as np
+    from lathe.operators import ranks
+    r = np.random.default_rng(5)
+    n = 20_001
+    table = {"a": r.normal(size=n), "ties": np.round(r.normal(size=n)), "same": np.full(n, 3.0), "gaps": np.where(r.random(n) < 0.3, np.nan, r.random(n)),
+             "none": np.full(n, np.nan)}
+    df = spark.createDataFrame(list(zip(*(x.tolist() for x in table.values()))), ", ".join(f"{x} double" for x in table)).repartition(5)
+    want = {x: (None if np.isnan(v).all() else float(np.nanmedian(v))) for x, v in table.items()}
+    asked = []
+    whole = ranks.quantile_values
+    monkeypatch.setattr(ranks, "quantile_values", lambda *a: asked.append(a) or whole(*a))
+    even = {x: (None if np.isnan(v).all() else float(np.nanmedian(v[:-1]))) for x, v in table.items()}
+    got = imp.global_medians(df, list(table))
+    assert not asked and got == pytest.approx(want)
+    assert imp.global_medians(df.limit(0), list(table)) == dict.fromkeys(table)
+    rows = spark.createDataFrame([(v,) for v in table["a"][:-1].tolist()], "a double")
+    assert imp.global_medians(rows, ["a"])["a"] == pytest.approx(even["a"]) and not asked
+    monkeypatch.setattr(imp, "BESIDE", -0.1)                       # edges that miss the median
+    assert imp.global_medians(df, ["a", "same"]) == pytest.approx({x: want[x] for x in ("a", "same")}) and asked
+
+
+def test_group_medians_with_hot_groups_and_extra(spark, monkeypatch):
+    import statistics
+    rows = [("hot", float(i % 37), None) for i in range(60)] + [(g, float(i), i * 2.0 if i % 2 else None) for g in ("a", "b", None) for i in range(5)]
+    rows += [("blank", None, None)]
+    df = spark.createDataFrame(rows, "TravelGroup string, s1 double, s2 double")
+    want = {}
+    for g in {r[0] for r in rows}:
+        cols = [[r[k] for r in rows if r[0] == g and r[k] is not None] for k in (1, 2)]
+        want[g] = (*(statistics.median(v) if v else None for v in cols), sum(r[0] == g for r in rows))
+    for limit in (1 << 16, 10):
+        monkeypatch.setattr(imp, "HOT_ROWS", limit)
+        got = imp.group_medians(df, "TravelGroup", ["s1", "s2"], extra={"GroupSize": F.count(F.lit(1))}).collect()
+        assert len(got) == len(want) and {r[0]: (r["__gm_s1"], r["__gm_s2"], r["GroupSize"]) for r in got} == want
