@@ -261,7 +261,7 @@ def state_sql(fs: FeatureSet) -> str:
 
 def _make(name: str):
     def q(spark, sf):
-        return round_doubles(fitted(spark, sf, name).transform(passengers(spark, sf), train=True))
+        return round_doubles(fitted(spark, sf, name).train_matrix())
     q.__name__ = f"q_{name}"
     q.__doc__ = f"Feature set {name}: {FEATURE_SETS[name].description}"
     return q
@@ -350,7 +350,7 @@ def q_standard_scale(spark, sf):
 @register("feature_pipeline", encode_sql(FEATURE_SETS["fs_004"]))
 def q_feature_pipeline(spark, sf):
     """H5: fit + train-mode transform of the default TE feature set (same as fs_004)."""
-    return round_doubles(fitted(spark, sf, "fs_004").transform(passengers(spark, sf), train=True))
+    return round_doubles(fitted(spark, sf, "fs_004").train_matrix())
 
 
 def apply_sql(fs: FeatureSet, known: str) -> str:

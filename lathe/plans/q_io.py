@@ -41,9 +41,8 @@ def q_write_features(spark, sf):
     """A2: raw and scaled fs_004 tables written under feature_set=/kind= folders; scaled re-read."""
     root = scratch_path(spark, "features")
     fit = fitted(spark, sf, "fs_004")
-    df = passengers(spark, sf)
-    io.write_features(round_doubles(fit.transform(df, train=True, scaled=False)), root, "fs_004", "raw")
-    io.write_features(round_doubles(fit.transform(df, train=True)), root, "fs_004", "scaled")
+    io.write_features(round_doubles(fit.train_matrix(scaled=False)), root, "fs_004", "raw")
+    io.write_features(round_doubles(fit.train_matrix()), root, "fs_004", "scaled")
     return io.read_features(spark, root, "fs_004", "scaled")
 
 
@@ -54,8 +53,7 @@ _A3_COLS = ["PassengerId", "Transported", "Age", "Deck_TE", "HomePlanet_TE", "De
 def q_read_features(spark, sf):
     """A3: partition-pruned, column-pruned reload of a feature table (X and y selected)."""
     root = scratch_path(spark, "features")
-    io.write_features(round_doubles(fitted(spark, sf, "fs_004").transform(passengers(spark, sf), train=True)),
-                      root, "fs_004", "scaled")
+    io.write_features(round_doubles(fitted(spark, sf, "fs_004").train_matrix()), root, "fs_004", "scaled")
     return io.read_features(spark, root, "fs_004", "scaled", columns=_A3_COLS)
 
 

@@ -123,3 +123,36 @@ def test_saved_feature_set_transforms_alike(spark, tmp_path):
         .withColumn("Transported", F.when(F.col("h").isNull(), F.col("Transported")).otherwise(~F.col("Transported"))).drop("h")
     other = FEATURE_SETS["fs_012"].fit(turned.select(people.columns), FIXTURE_BINDING, train_ids=ids)
     assert np.allclose(other.scaler.stats["Route_TE"], fit.scaler.stats["Route_TE"], rtol=1e-12)
+
+
+def test_a_fit_runs_the_row_pipeline_once_and_its_matrix_is_the_transform(spark, monkeypatch):
+    from dataclasses import replace
+    from lathe.plans.featuresets import FEATURE_SETS
+    from lathe.plans.q_featuresets import FIXTURE_BINDING
+    from lathe.sources.fixtures import passengers
+    people = passengers(spark, "/root/testdata/sf0.001")
+    ids = people.where("cast(Age AS int) % 4 > 0").select("PassengerId")
+    for name in ("fs_006", "fs_012"):
+        fs, ran = FEATURE_SETS[name], []
+        counted = replace(fs, pipeline=lambda *a: ran.append(1) or fs.pipeline(*a))
+        for train_ids in ((None,) if name == "fs_006" else (ids.unionAll(ids),)):
+            ran.clear()
+            fit = counted.fit(people, FIXTURE_BINDING, train_ids=train_ids)
+            got = [fit.train_matrix(scaled, True) for scaled in (True, False)]
+            assert len(ran) == 1
+            for scaled, m in zip((True, False), got):
+                want = fit.transform(people, train=True, scaled=scaled, fill_unseen=True)
+                assert m.columns == want.columns
+                assert sorted(map(str, m.collect())) == sorted(map(str, want.collect()))
+
+
+def test_group_size_counts_the_rows_that_stay(spark):
+    from lathe.plans.featuresets import FEATURE_SETS
+    from lathe.plans.q_featuresets import FIXTURE_BINDING
+    from lathe.sources.fixtures import passengers
+    people = passengers(spark, "/root/testdata/sf0.001")
+    for name in ("fs_006", "fs_008"):
+        for train in (True, False):
+            rows = FEATURE_SETS[name].rows(people, FIXTURE_BINDING, train=train)
+            wrong = rows.groupBy("TravelGroup").agg(F.count("*").alias("n"), F.min("GroupSize").alias("a"), F.max("GroupSize").alias("b"))
+            assert rows.columns[-1] == "GroupSize" and wrong.where("a <> n OR b <> n").isEmpty()
