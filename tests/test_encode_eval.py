@@ -100,6 +100,19 @@ def test_mixture_of_experts_scores_every_row(spark):
         assert all(r.p1 is not None and r.prediction == float(r.p1 >= 0.5) for r in out)
 
 
+def test_experts_are_trained_side_by_side(spark, monkeypatch):
+    import threading
+    both, plain = threading.Barrier(2, timeout=60), ml.held_out
+
+    def held_out(m, models, folds):
+        both.wait()                                     # breaks unless the other expert is being trained too
+        return plain(m, models, folds)
+    monkeypatch.setattr(ml, "held_out", held_out)
+    df = spark.createDataFrame([(f"t{i}", i % 2, float(i % 5), int(i % 5 > 2)) for i in range(120)], "id string, gate int, a double, y int")
+    out = ml.mixture_of_experts(df, df, ["a"], "y", "id", "gate", ml.Logistic(iterations=5)).collect()
+    assert len(out) == 120 and {(r.id, r.expert) for r in out} == {(f"t{i}", "gated" if i % 2 else "rest") for i in range(120)}
+
+
 def test_quantiles_of_no_values_keep_their_columns(spark):
     df = spark.createDataFrame([("a", None)], "k string, v double")
     assert ranks.exact_quantiles(df, ["k"], "v", [0.5]).columns == ["k", "q_index", "quantile"]
